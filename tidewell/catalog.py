@@ -1,4 +1,4 @@
-"""All registered queries and their SQL."""
+"""All registered queries of the library and their SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from tidewell.registered import load, planning, prices, quality, storage, streams  # noqa: F401
+from tidewell.registered.registry import ORACLE_SQL, QUERIES  # noqa: F401
