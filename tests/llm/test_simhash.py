@@ -6,7 +6,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tidewell.llm.components import components
-from tidewell.llm.simhash import fingerprint, fingerprint_links, keep_one, near_duplicates, op2_simhash, segment_plan
+from tidewell.llm.simhash import _keys, fingerprint, fingerprint_links, keep_one, near_duplicates, op2_simhash, segment_plan
 
 
 def brute_print(text):
@@ -101,3 +101,15 @@ def test_query(spark, sf_dir):
     assert {r.doc_id: r.fingerprint for r in rows} == {i: f"{p % (1 << 64):016x}" for i, p in prints}
     want = brute_components(prints)
     assert {r.doc_id: r.component_id for r in rows} == want
+
+
+def test_table_and_ball_keys(spark):
+    fp = 0x0123456789ABCDEF
+    plan = segment_plan(4, 3)
+    one = spark.createDataFrame([(1, fp)], "rep long, fp long")
+    keys = lambda probe: [r.key for r in one.select(_keys(plan, probe)).collect()]
+    own = [i << 48 | fp >> shift & (1 << width) - 1 for i, (shift, width, _) in enumerate(plan)]
+    assert keys(False) == own
+    balls = keys(True)
+    assert len(balls) == len(set(balls)) == sum(1 + width * radius for _, width, radius in plan) and set(own) <= set(balls)
+    assert all(any((k ^ o).bit_count() <= 1 for o in own) for k in balls)

@@ -74,12 +74,13 @@ def _segment(fp: Column, shift: int, width: int) -> Column:
 
 def _keys(plan, probe: bool) -> Column:
     """Table keys of a fingerprint, or the keys of the Hamming balls around its segments."""
-    out = []
-    for i, (shift, width, radius) in enumerate(plan):
+
+
+    def ball(i: int, shift: int, width: int, radius: int) -> Column:
         value = _segment(F.col("fp"), shift, width).bitwiseOR(F.lit(i << 48))
-        masks = _masks(width, radius) if probe else [0]
-        out.append(F.transform(F.array(*[F.lit(m).cast("long") for m in masks]), lambda m, v=value: v.bitwiseXOR(m)))
-    return F.explode(F.concat(*out)).alias("key")
+        return F.array(*[value.bitwiseXOR(F.lit(m).cast("long")) for m in _masks(width, radius if probe else 0)])
+
+    return F.explode(F.concat(*[ball(i, *p) for i, p in enumerate(plan)])).alias("key")
 
 
 def _ball_links(prints: DataFrame, distance: int) -> DataFrame:

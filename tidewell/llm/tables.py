@@ -2,26 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where that is unset (tests), a temporary one."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="spark-tidewell-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+from tidewell.session import fresh_path, table  # noqa: F401
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -31,11 +14,6 @@ def settle(df: DataFrame) -> DataFrame:
     and never a re-computation of a Python stage, and Spark knows the true size of the table when it
     chooses a join.
     """
-    path = f"{shared_dir(df.sparkSession)}/tidewell-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if(df: DataFrame, rows: int, most: int) -> DataFrame:
-    """Hint a broadcast only when the counted ``rows`` are within ``most``; else Spark shuffles and splits skew."""
-    return F.broadcast(df) if rows <= most else df
