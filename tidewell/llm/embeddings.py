@@ -168,7 +168,7 @@ def _links(vectors: DataFrame, total: int, how: MultiIndex) -> DataFrame:
     rows = rows.withColumn("tb", F.explode(F.when(F.col("probe"), every("nt")).otherwise(F.array(part("nt")))))
     rows = rows.withColumn("pb", F.explode(F.when(F.col("probe"), F.array(part("np"))).otherwise(every("np"))))
 
-    def verify(key, df: pd.DataFrame) -> pd.DataFrame:
+    def verify(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
         return _block_links(df[~df.probe], df[df.probe], key[0], books, how)
 
     return settle(rows.select("cell", "tb", "pb", "probe", "rep", "m", "v").groupBy("cell", "tb", "pb").applyInPandas(verify, "a long, b long, n long"))

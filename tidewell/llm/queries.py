@@ -8,6 +8,7 @@ from tidewell.llm.media import op8_matroska
 from tidewell.llm.packing import op5_packing
 from tidewell.llm.secrets import op1_secret_scan
 from tidewell.llm.sharding import op7_sharding
+from tidewell.llm.segmentation import op9_segmentation
 from tidewell.llm.simhash import op2_simhash
 from tidewell.llm.tokens import op6_token_counts
 from tidewell.llm.toxicity import op4_toxicity
@@ -15,7 +16,7 @@ from tidewell.llm.toxicity import op4_toxicity
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_secret_scan, op2_simhash, op3_line_dedup, op4_toxicity, op5_packing, op6_token_counts,
-                                    op7_sharding, op8_matroska, op10_multi_index)}
+                                    op7_sharding, op8_matroska, op9_segmentation, op10_multi_index)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -68,7 +68,7 @@ def fit(texts: list[str | None], labels: list[int], how: Toxicity = Toxicity())
     seen = Counter(w for b in bags for w in b)
     vocab = {w: i for i, w in enumerate(sorted(w for w, n in seen.items() if n >= how.min_docs))}
     if not vocab or len(set(labels)) < 2:
-        share = (sum(labels) + 0.5) / (len(labels) + 1)
+        share = (sum(labels) + 0.5) / (len(labels) + 2)
         return np.zeros(how.buckets), float(np.log(share / (1 - share)))
     known = [sorted(vocab[w] for w in b if w in vocab) for b in bags]
     doc = _sparse(known, [[1 / (len(b) + how.pad)] * len(k) for b, k in zip(bags, known)], len(vocab))
