@@ -32,15 +32,16 @@ class Toxicity:
 
     sample: int = 900
     clean_per_toxic: int = 3
-    toxic_weight: float = 2.0
+    toxic_weight: float = 1.0
     buckets: int = 1 << 16
     dim: int = 4
     grams: tuple[int, int] = (3, 5)
-    epochs: int = 60
-    rate: float = 0.05
-    scale: float = 150.0
-    decay: float = 1e-4
-    min_docs: int = 2
+    epochs: int = 150
+    rate: float = 0.3
+    scale: float = 300.0
+    prior: float = 0.3
+    keep: float = 0.5
+    min_docs: int = 4
     pad: int = 20
     seed: int = 7
     cache_words: int = 1 << 20
@@ -62,7 +63,8 @@ def fit(texts: list[str | None], labels: list[int], how: Toxicity = Toxicity())
     """(weight of each bucket, bias) of the log-odds, from a joint fit of embeddings and softmax layer.
 
     Full-batch Adam. Both means are sparse products; the second index of each, sorted once, turns the
-    scatter of the gradients into a segmented sum.
+    scatter of the gradients into a segmented sum. Each epoch hides a random part of each document's words,
+    so that rare words can't explain a document alone, and the steps shrink to nothing by the end.
     """
     bags = [set(words(t)) for t in texts]
     seen = Counter(w for b in bags for w in b)
@@ -76,6 +78,8 @@ def fit(texts: list[str | None], labels: list[int], how: Toxicity = Toxicity())
     word = _sparse(ids, [[1 / len(x)] * len(x) for x in ids], how.buckets)
     rng = np.random.default_rng(how.seed)
     y = np.eye(2, dtype=np.float32)[:, labels]
+    # A Gaussian prior weighs less against the mean loss the more documents there are.
+    decay = np.float32(how.prior / len(labels))
     weight = np.where(y[1] > 0, how.toxic_weight, 1).astype(np.float32) / len(labels)
     # Embeddings start at zero: a bucket that the sample never met says nothing.
     params = [np.zeros((how.dim, how.buckets), np.float32), rng.normal(0, 0.5, (2, how.dim)).astype(np.float32), np.zeros((2, 1), np.float32)]
@@ -83,16 +87,18 @@ def fit(texts: list[str | None], labels: list[int], how: Toxicity = Toxicity())
     size = [np.zeros_like(p) for p in params]
     for t in range(1, how.epochs + 1):
         emb, out, bias = params
+        rate = how.rate * (1 - (t - 1) / how.epochs)
+        doc.thin(rng.random(len(doc.full)) < how.keep, how.keep)
         hidden = how.scale * doc.dot(word.dot(emb))
         z = out @ hidden + bias
         p = np.exp(z - z.max(0))
         p /= p.sum(0)
         d = (p - y) * weight
-        grads = [word.back(doc.back(how.scale * out.T @ d)) + how.decay * emb, d @ hidden.T + how.decay * out, d.sum(1, keepdims=True)]
+        grads = [word.back(doc.back(how.scale * out.T @ d)) + decay * emb, d @ hidden.T + decay * out, d.sum(1, keepdims=True)]
         for i, (x, g, a) in enumerate(zip(params, grads, pace)):
             a += 0.1 * (g - a)
             size[i] += 0.05 * (g * g - size[i])
-            x -= how.rate * (a / (1 - 0.9**t)) / (np.sqrt(size[i] / (1 - 0.95**t)) + 1e-8)
+            x -= rate * (a / (1 - 0.9**t)) / (np.sqrt(size[i] / (1 - 0.95**t)) + 1e-8)
     emb, out, bias = params
     return (how.scale * (out[1] - out[0]) @ emb).astype(np.float64), float(bias[1, 0] - bias[0, 0])
 
@@ -108,8 +114,14 @@ class _sparse:  # noqa: N801
         self.row = np.repeat(np.arange(len(cols), dtype=np.int32), size)
         order = np.argsort(self.col, kind="stable")
         self.back_row, self.back_val = self.row[order], self.val[order]
+        self.order, self.full = order, self.val
         self.ends = [self._starts(self.row), self._starts(self.col[order])]
 
+    def thin(self, kept: np.ndarray, share: float) -> None:
+        """Take only the ``kept`` entries from here on, scaled up so that sums keep their size."""
+        self.val = self.full * (kept / np.float32(share))
+        self.back_val = self.val[self.order]
+
     @staticmethod
     def _starts(index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.flatnonzero(np.r_[True, index[1:] != index[:-1]]) if len(index) else np.zeros(0, np.int64)
