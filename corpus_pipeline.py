@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.lines import drop_boilerplate
 from tidewell.llm.packing import pack, token_pieces
 from tidewell.llm.secrets import redact_secrets
-from tidewell.llm.simhash import keep_one
+from tidewell.llm.similar import keep_one_similar
 from tidewell.llm.tables import settle, table
 from tidewell.llm.toxicity import score_toxicity, train
 
@@ -35,8 +35,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, that of the smallest id."""
-    return keep_one(docs)
+    """One document of each group with 5-word shingle similarity of 0.8 or more stays, that of the smallest id."""
+    return keep_one_similar(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
