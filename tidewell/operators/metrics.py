@@ -29,6 +29,18 @@ def windowed(df: DataFrame, minutes: int = 5) -> DataFrame:
         F.col("window.start").alias("window_start"), "errors", "n", "depth")
 
 
+def metric_alarms(df: DataFrame, minutes: int = 5) -> DataFrame:
+    """Per tumbling window and metric of ``THRESHOLDS``: ``window_start, metric, statistic, value, threshold, alarm``.
+
+    ``df(ts, metric, value)`` is a batch or a stream; metrics without a threshold are left out, and a window
+    has a row for each metric that reports in it. A null value counts for nothing.
+    """
+    rows = df.where(F.col("metric").isin(*THRESHOLDS)).groupBy(F.window("ts", f"{minutes} minutes"), "metric").agg(F.avg("value").alias("avg"), F.max("value").cast("double").alias("max"), F.sum("value").cast("double").alias("sum"))
+    of = lambda pick: F.coalesce(*[F.when(F.col("metric") == m, pick(*t)) for m, t in THRESHOLDS.items()])
+    shown = rows.select(F.col("window.start").alias("window_start"), "metric", of(lambda _, s: F.lit(s)).alias("statistic"), of(lambda _, s: F.col(s)).alias("value"), of(lambda t, _: F.lit(t)).alias("threshold"))
+    return shown.withColumn("alarm", F.coalesce(F.col("value") >= F.col("threshold"), F.lit(False)))
+
+
 def m_of_n(windows: DataFrame, periods: int, threshold: float, minutes: int = 5) -> DataFrame:
     """Alarm per window when all of the last ``periods`` windows reach the threshold; windows without rows count as zero.
 
