@@ -39,22 +39,24 @@ CLASSES = (
 )
 
 #: Candidates that match one of these in full are no secrets: words, compound identifiers and paths
-#: without digits, rulers, plain numbers, UUIDs, placeholders and the alphabet written out.
+#: without digits, rulers, plain numbers and UUIDs.
 ALLOW = (
     r"[A-Za-z]?[a-z]+",
     r"[A-Z]+",
     r"(?:[A-Za-z]?[a-z]*[/_=+-]+)*[A-Za-z]?[a-z]*",
     r"[0-9+/=_-]+",
     r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}",
-    r".*(?:EXAMPLE|example|XXXX|xxxx).*",
-    r".*(?:abcdefghij|ABCDEFGHIJ|0123456789).*",
 )
 
+#: Placeholders and the alphabet written out: what makes a part of a candidate, up to the next / or =, no secret.
+FRAGMENTS = (r"EXAMPLE|example|XXXX|xxxx", r"abcdefghij|ABCDEFGHIJ|0123456789")
+
 
 @dataclass(frozen=True)
 class SecretScan:
     classes: tuple[EntropyClass, ...] = CLASSES
     allow: tuple[str, ...] = field(default=ALLOW)
+    fragments: tuple[str, ...] = field(default=FRAGMENTS)
 
     def base(self, text: Column) -> Column:
         text = F.coalesce(text, F.lit(""))
@@ -70,7 +72,17 @@ class SecretScan:
                 F.transform(_entropy_spans(run["text"], c), lambda s: _span(run["start"] + s["start"], rank, run["start"] + s["end"]))
             )
 
-        return F.when(text.rlike(pattern), F.flatten(F.transform(_runs(text, pattern), spread))).otherwise(_no_spans())
+        def pieces(run: Column) -> Column:
+            """The run, or what is left of it beside the parts with a fragment."""
+            if not self.fragments:
+                return F.array(run)
+            some = "|".join(self.fragments)
+            parts = F.transform(F.split(run["text"], "(?<=[/=])"), lambda p: F.when(p.rlike(some), F.rpad(F.lit(""), F.length(p), F.lit(" "))).otherwise(p))
+            left = F.transform(_runs(F.array_join(parts, ""), pattern), lambda r: F.struct((run["start"] + r["start"]).alias("start"), (run["start"] + r["end"]).alias("end"), r["text"].alias("text")))
+            return F.when(run["text"].rlike(some), left).otherwise(F.array(run))
+
+        found = F.flatten(F.transform(_runs(text, pattern), pieces))
+        return F.when(text.rlike(pattern), F.flatten(F.transform(found, spread))).otherwise(_no_spans())
 
 
 def _span(start: Column, rank: int, end: Column) -> Column:
