@@ -17,3 +17,15 @@ def settle(df: DataFrame) -> DataFrame:
     path = fresh_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """A name for each temporary column that no column of ``df`` has, whatever the case of its letters."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        name = f"_{name}"
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
