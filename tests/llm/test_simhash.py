@@ -1,4 +1,5 @@
 import random
+from itertools import combinations_with_replacement
 
 import numpy as np
 import pytest
@@ -6,7 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tidewell.llm.components import components
-from tidewell.llm.simhash import _keys, fingerprint, fingerprint_links, keep_one, near_duplicates, op2_simhash, segment_plan
+from tidewell.llm.simhash import _keys, choose_plan, fingerprint, fingerprint_links, keep_one, near_duplicates, op2_simhash, segment_plan
 
 
 def brute_print(text):
@@ -49,14 +50,26 @@ def test_fingerprint():
     assert fingerprint("one Two three") == fingerprint(" one\ttwo THREE ")
 
 
-@pytest.mark.parametrize("distance,segments", [(4, 3), (4, 2), (4, 4), (3, 4), (4, 5)])
-def test_radii_find_every_pair(distance, segments):
-    plan = segment_plan(distance, segments)
-    assert sum(w for _, w, _ in plan) == 64 and sum(r + 1 for _, _, r in plan) == distance + 1
+@pytest.mark.parametrize("distance,blocks,together", [(4, 3, 1), (4, 2, 1), (4, 4, 1), (3, 4, 1), (4, 5, 1), (4, 3, 2), (4, 4, 2), (6, 4, 3)])
+def test_radii_find_every_pair(distance, blocks, together):
+    plan = segment_plan(distance, blocks, together)
+    edges = [round(i * 64 / blocks) for i in range(blocks + 1)]
+    assert {p for parts, _ in plan for p in parts} == {(a, b - a) for a, b in zip(edges, edges[1:])}
+    # However the differing bits fall on the blocks, some segment holds no more than its radius.
+    for bits in combinations_with_replacement(range(blocks), distance):
+        own = {edges[i]: bits.count(i) for i in range(blocks)}
+        assert any(sum(own[shift] for shift, _ in parts) <= radius for parts, radius in plan)
+
+
+def test_the_cut_follows_the_number_of_rows():
+    widths = [min(sum(w for _, w in parts) for parts, _ in choose_plan(n)) for n in (0, 1000, 1 << 21, (1 << 21) + 1, 1 << 26, 1 << 28, 1 << 36)]
+    assert widths == [21, 21, 21, 32, 32, 42, 42]
+    assert choose_plan(10, 0) == [([(0, 64)], 0)]
 
 
 @pytest.mark.parametrize("bucket_rows", [256, 1])
-def test_links_against_all_pairs(spark, bucket_rows):
+@pytest.mark.parametrize("cut", [(3, 1), (2, 1), (3, 2)])
+def test_links_against_all_pairs(spark, bucket_rows, cut):
     rnd = random.Random(3)
     prints = set()
     while len(prints) < 300:
@@ -66,11 +79,22 @@ def test_links_against_all_pairs(spark, bucket_rows):
             for _ in range(rnd.randint(0, 5)):
                 f ^= 1 << rnd.randrange(64)
             prints.add(f - (1 << 64) if f >> 63 else f)
-    rows = list(enumerate(sorted(prints)))
-    links = fingerprint_links(spark.createDataFrame(rows, "rep long, fp long"), bucket_rows=bucket_rows)
+    rows = [(f, f) for f in sorted(prints)]
+    links = fingerprint_links(spark.createDataFrame([(f,) for f, _ in rows], "fp long"), plan=segment_plan(4, *cut), bucket_rows=bucket_rows)
+    assert links.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) > 4).count() == 0
+    found = {r.node: r.component for r in components(links).collect()}
+    want = brute_components(rows)
+    assert found == {a: b for a, b in want.items() if list(want.values()).count(b) > 1}
+
+
+@pytest.mark.parametrize("distance", [3, 5])
+def test_other_distances(spark, distance):
+    rnd = random.Random(distance)
+    prints = {f ^ sum(1 << b for b in rnd.sample(range(63), rnd.randint(0, distance + 1))) for f in [rnd.getrandbits(63) for _ in range(20)] for _ in range(6)}
+    links = fingerprint_links(spark.createDataFrame([(f,) for f in prints], "fp long"), distance, bucket_rows=1)
+    want = groups([(a, b) for a in prints for b in prints if (a ^ b).bit_count() <= distance])
     found = {r.node: r.component for r in components(links).collect()}
-    assert found == {a: b for a, b in brute_components(rows).items() if a in found}
-    assert len(found) == sum(1 for a, b in brute_components(rows).items() if list(brute_components(rows).values()).count(b) > 1)
+    assert found == {a: b for a, b in want.items() if list(want.values()).count(b) > 1}
 
 
 def test_components(spark):
@@ -103,13 +127,30 @@ def test_query(spark, sf_dir):
     assert {r.doc_id: r.component_id for r in rows} == want
 
 
-def test_table_and_ball_keys(spark):
-    fp = 0x0123456789ABCDEF
-    plan = segment_plan(4, 3)
-    one = spark.createDataFrame([(1, fp)], "rep long, fp long")
-    keys = lambda probe: [r.key for r in one.select(_keys(plan, probe)).collect()]
-    own = [i << 48 | fp >> shift & (1 << width) - 1 for i, (shift, width, _) in enumerate(plan)]
-    assert keys(False) == own
-    balls = keys(True)
-    assert len(balls) == len(set(balls)) == sum(1 + width * radius for _, width, radius in plan) and set(own) <= set(balls)
-    assert all(any((k ^ o).bit_count() <= 1 for o in own) for k in balls)
+@pytest.mark.parametrize("cut", [(3, 1), (2, 1), (3, 2)])
+def test_table_and_ball_keys(spark, cut):
+    """Two fingerprints within the radius of a segment share a key of the probe's ball and the table's."""
+    plan = segment_plan(4, *cut)
+    rnd = random.Random(4)
+    rows = []
+    for n in range(40):
+        fp = rnd.getrandbits(64)
+        other = fp
+        for b in rnd.sample(range(64), 4):
+            other ^= 1 << b
+        rows.append((n, *(x - (1 << 64) if x >> 63 else x for x in (fp, other))))
+    df = spark.createDataFrame(rows, "n long, x long, y long")
+    probe = df.select("n", F.col("x").alias("fp")).select("n", _keys(plan, True))
+    table = df.select("n", F.col("y").alias("fp")).select("n", _keys(plan, False))
+    assert probe.join(table, ["n", "key"]).select("n").distinct().count() == 40
+    assert probe.count() == 40 * sum(1 + sum(w for _, w in parts) * (radius > 0) for parts, radius in plan)
+
+
+def test_repeated_ids(spark):
+    """An id with two texts belongs to two groups; no group loses all its rows, and none is joined to another by an id."""
+    rows = [(5, "alpha beta gamma delta", 1), (5, "totally other words here", 2), (7, "totally other words here", 3), (7, "one more text apart", 4), (5, "alpha beta gamma delta", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id int")
+    assert sorted((r.doc_id, r.component_id) for r in near_duplicates(docs).collect()) == [(5, 5), (5, 5), (5, 5), (7, 5), (7, 7)]
+    kept = keep_one(docs)
+    assert sorted(r._id for r in kept.collect()) == [1, 2, 4] and kept.columns == docs.columns
+    assert sorted(r._id for r in keep_one(docs.repartition(3)).collect()) == [1, 2, 4]
