@@ -1,30 +1,52 @@
-"""Near-duplicates by exact Jaccard similarity of word shingles; MinHash bands find the candidates."""
+"""Near-duplicates by word-shingle similarity: multi-index hashing over SimHash segments, verified by the exact Jaccard similarity.
+
+At a similarity of 0.8 two SimHashes differ in about 15 of 100 bits, so a fingerprint here has as many
+segments as the wanted recall takes, each as wide as the number of texts takes.
+"""
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.components import components
-from tidewell.llm.simhash import SEED
+from tidewell.llm.simhash import SEED, rows_of, with_row_key
 from tidewell.llm.tables import settle
 
 WORDS = 5
 #: Least similarity, as a fraction of whole numbers: the comparison has no rounding.
 SIMILARITY = (4, 5)
-#: A pair at similarity 0.8 meets in no band with probability (1 - 0.8 ** 4) ** 32, under 5e-8.
-BANDS = 32
-BAND_ROWS = 4
-#: All pairs of a bucket that aren't connected yet are compared once they are at most so many per bucket row.
+#: Part of differing bits at the least similarity: arc cosine of 2 * 0.8 / (1 + 0.8), divided by pi.
+DIFFER = 0.1515
+#: A pair at the least similarity meets in no segment with at most this probability.
+MISS = 0.005
+#: Bits of a segment that are flipped in turn, those of the narrowest majority; they hold about 0.85 of what all would find.
+FLIPS = 7
+FLIPS_HOLD = 0.85
+#: Candidates differ in at most this part of a fingerprint's bits, and in so many of its first 64.
+MOST_BITS = 0.3
+MOST_CHECK_BITS = 20
+#: A bucket is crowded from about SAMPLED * SAMPLE rows: it is looked for among one in SAMPLE texts. All pairs of others are compared.
+SAMPLE = 16
+SAMPLED = 4
+#: All pairs of crowded buckets that aren't connected yet are compared once they are at most so many per bucket row.
 PAIRS_A_ROW = 8
 LEADER_ROUNDS = 6
 
-_random = np.random.default_rng(SEED)
-_FLIP = _random.integers(0, 1 << 64, BANDS * BAND_ROWS, np.uint64)
-_TIMES = _random.integers(0, 1 << 64, BANDS * BAND_ROWS, np.uint64) | np.uint64(1)
+
+def sketch_plan(rows: int) -> tuple[int, int]:
+    """(width, segments): four values of a segment for each text, and segments for the wanted recall.
+
+    A pair meets in a segment if it differs there in at most two bits, one flipped on either side.
+    """
+    width = max(20, math.ceil(math.log2(max(2, rows))) + 2)
+    meet = FLIPS_HOLD * sum(math.comb(width, k) * DIFFER**k * (1 - DIFFER) ** (width - k) for k in range(3))
+    return width, math.ceil(math.log(MISS) / math.log(1 - meet))
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -34,34 +56,49 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(w[i : i + words]), SEED) for i in range(n)), np.uint64, n))
 
 
-def band_keys(hashes: np.ndarray) -> list[int]:
-    """One key per band of minima; none for an empty set."""
+def _lanes(hashes: np.ndarray, n: int) -> np.ndarray:
+    """``n`` independent 64-bit words for each hash."""
+    x = hashes[:, None] + np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
+def sketch(hashes: np.ndarray, width: int, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """(value, flips) of each segment of the SimHash of a set: a bit is the majority's; ``flips`` marks the bits of the narrowest majorities."""
     if not len(hashes):
-        return []
-    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    lanes = -(-width * segments // 64)
+    ones = np.zeros(lanes * 64, np.int64)
     for at in range(0, len(hashes), 2048):
-        least = np.minimum(least, ((hashes[at : at + 2048, None] ^ _FLIP) * _TIMES).min(0))
-    return [_signed(xxhash.xxh64_intdigest(band.tobytes(), i)) for i, band in enumerate(least.reshape(BANDS, BAND_ROWS))]
+        ones += np.unpackbits(_lanes(hashes[at : at + 2048], lanes).view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.int32)
+    lead = (2 * ones[: width * segments] - len(hashes)).reshape(segments, width)
+    low = np.argpartition(np.abs(lead), FLIPS - 1, axis=1)[:, :FLIPS]
+    return (lead > 0) @ (1 << np.arange(width)), (1 << low).sum(1)
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _prints(docs: DataFrame, words: int) -> DataFrame:
-    """``(doc_id, row, node, n, keys)`` of ``docs(doc_id, row, text)``; ``node`` stands for the set of shingles."""
+def _prints(docs: DataFrame, words: int, width: int, segments: int) -> DataFrame:
+    """``(doc_id, row, node, n, value, flips)`` of ``docs(doc_id, row, text)``; ``node`` stands for the set of shingles."""
+    names = ["doc_id", "row", "node", "n", "value", "flips"]
 
     def run(batches):
         for b in batches:
-            nodes, sizes, keys = [], [], []
+            nodes, sizes, values, flips = [], [], [], []
             for t in b.column(2):
                 h = shingles(t.as_py(), words)
                 nodes.append(_signed(xxhash.xxh3_64_intdigest(h.tobytes(), SEED)))
                 sizes.append(len(h))
-                keys.append(band_keys(h))
-            yield pa.record_batch([b.column(0), b.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "row", "node", "n", "keys"])
+                value, flip = sketch(h, width, segments)
+                values.append(value)
+                flips.append(flip)
+            longs = pa.list_(pa.int64())
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(values, longs), pa.array(flips, longs)], names)
 
-    return docs.mapInArrow(run, "doc_id long, row long, node long, n long, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, row long, node long, n long, value array<long>, flips array<long>")
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
@@ -75,33 +112,63 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "node long, hashes array<long>")
 
 
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose sets are similar, by the exact intersection."""
+def _keys(width: int) -> Column:
+    """The Hamming balls around the segments: each value, and it with one of its ``flips`` turned."""
+
+    def ball(value: Column, k: Column) -> Column:
+        own = value.bitwiseOR(F.call_function("shiftleft", k.cast("long"), F.lit(48)))
+        bits = F.filter(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda b: F.call_function("shiftleft", F.lit(1).cast("long"), b)), lambda m: F.get("flips", k).bitwiseAND(m) != 0)
+        return F.array_append(F.transform(bits, lambda m: own.bitwiseXOR(m)), own)
+
+    return F.flatten(F.transform("value", ball))
+
+
+def _check(width: int) -> Column:
+    """The first bits of a fingerprint, up to 64, in one number."""
+    parts = [F.shiftleft(F.coalesce(F.get("value", F.lit(k)), F.lit(0)), k * width) for k in range(64 // width)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.bitwiseOR(p)
+    return out
+
+
+def _bits(x: Column) -> Column:
+    return F.bit_count(x).cast("int")
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, bits: int) -> DataFrame:
+    """Those of ``pairs(a, b)`` within the complete distance whose sets are similar, by the exact intersection."""
     up, down = SIMILARITY
-    one, two = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    return pairs.join(one, "a").join(two, "b").where(both * (up + down) >= (F.size("x") + F.size("y")) * up).select("a", "b")
+    one, two = (sets.select(F.col("node").alias(n), F.col("value").alias(f"v{n}"), F.col("hashes").alias(f"h{n}")) for n in "ab")
+    distance = F.aggregate(F.zip_with("va", "vb", lambda x, y: _bits(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    both = F.size(F.array_intersect("ha", "hb"))
+    near = (distance <= int(MOST_BITS * bits)) & (both * (up + down) >= (F.size("ha") + F.size("hb")) * up)
+    return pairs.join(one, "a").join(two, "b").where(near).select("a", "b")
+
 
+def _pair(where: Column, left: DataFrame, right: DataFrame) -> DataFrame:
+    """``(a, b)`` of rows ``l`` and ``r`` under one key whose first bits are near, once each."""
+    check = _bits(F.col("l.check").bitwiseXOR(F.col("r.check"))) <= MOST_CHECK_BITS
+    met = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & where & check)
+    return met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
 
-def set_links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
-    """``(node, component)`` of the similar pairs that share a row of ``buckets(key, node, n)``.
 
-    Only what isn't connected yet needs comparing. While a bucket holds many such pairs, each round compares
-    all its rows with one leader, which connects a large group in time linear in its rows; the pairs that
-    then still lie in different components are all compared.
+def crowd_links(links: DataFrame, buckets: DataFrame, sets: DataFrame, bits: int) -> DataFrame:
+    """``links(a, b)`` and enough more to connect what similar pairs within ``buckets(key, node, n, check)`` connect.
+
+    Only what isn't connected yet needs comparing. While crowded buckets hold many such pairs, each round
+    compares all rows of a bucket with one leader, which connects a large group in time linear in its rows;
+    the pairs that then still lie in different components are all compared.
     """
     up, down = SIMILARITY
-    can = lambda x, y: F.least(x, y) * down >= F.greatest(x, y) * up
-    pair = [F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")]
+    can = F.least("l.n", "r.n") * down >= F.greatest("l.n", "r.n") * up
     n_rows = buckets.count()
-    links = found = None
     for t in range(LEADER_ROUNDS + 1):
-        rows = buckets.withColumn("c", F.col("node"))
-        if found is not None:
-            rows = buckets.join(found.select("node", F.col("component").alias("c_")), "node", "left").select("key", "node", "n", F.coalesce("c_", "node").alias("c"))
+        named = components(links).select("node", F.col("component").alias("c_"))
+        rows = buckets.join(named, "node", "left").select("key", "node", "n", "check", F.coalesce("c_", "node").alias("c"))
         parts = settle(rows.groupBy("key", "c").agg(F.count("*").alias("k")))
-        whole = parts.groupBy("key").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("own"), F.max_by("c", "k").alias("largest")).where("all * all > own")
-        whole = settle(whole)
+        whole = parts.groupBy("key").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("own"), F.max_by("c", F.struct("k", "c")).alias("largest"))
+        whole = settle(whole.where("all * all > own"))
         left = whole.agg(F.sum((F.col("all").cast("double") * F.col("all") - F.col("own")) / 2)).first()[0] or 0
         if not left:
             break
@@ -110,35 +177,49 @@ def set_links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
         if last:  # one end of each pair lies outside the bucket's largest component
             side = rows.where("c <> largest")
         else:
-            side = rows.groupBy("key").agg(F.min_by(F.struct("node", "n", "c"), F.xxhash64("node", F.lit(t))).alias("x")).select("key", "x.*")
-        met = side.alias("l").join(rows.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.c") != F.col("r.c")) & can(F.col("l.n"), F.col("r.n")))
-        more = settle(_similar(settle(met.select(*pair).distinct()), sets))
-        links = more if links is None else links.unionByName(more)
-        found = components(links)
+            side = rows.groupBy("key").agg(F.min_by(F.struct("node", "n", "check", "c"), F.struct(F.xxhash64("node", F.lit(t)), "node")).alias("x")).select("key", "x.*")
+        pairs = settle(_pair((F.col("l.c") != F.col("r.c")) & can, side, rows))
+        links = links.unionByName(settle(_similar(pairs, sets, bits)))
         if last:
             break
-    return found if found is not None else buckets.select("node", F.col("node").alias("component")).limit(0)
+    return links
 
 
 def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
     """``docs`` with one row of each group of similar texts, that of the smallest id; null ids all stay.
 
     Groups are of texts, not of ids: where an id repeats with different texts, each text belongs to its own
-    group. Among rows of a group's smallest id the one with the least row hash stays.
+    group. Among rows of a group's smallest id the one with the least row hash stays; of equal rows one
+    stays. Texts without words are similar to each other alone. An empty table gives an empty table.
+
+    Each text writes its segments' small Hamming balls; texts that meet are compared by their first bits
+    inside the join, then by the complete distance, then by their sets of shingles. A pair at the least
+    similarity is missed with a probability of about ``MISS``, and more often only if a text has fewer
+    than about ten shingles. Sets are known by a 64-bit hash.
     """
-    row = F.xxhash64(*[F.col(c) for c in docs.columns])
-    named = docs.where(F.col(id_col).isNotNull()).withColumns({"_id": F.col(id_col).cast("long"), "_row": row})
-    own = settle(_prints(named.select("_id", "_row", F.col(text_col).alias("text")), words))
-    nodes = settle(own.groupBy("node").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys")))
-    rows = nodes.select(F.explode("keys").alias("key"), "node", "n")
-    shared = rows.groupBy("key").count().where("count > 1").select("key")
-    buckets = settle(rows.join(shared, "key", "left_semi"))
-    wanted = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select(F.col("first.doc_id").alias("_first"), F.col("first.row").alias("_first_row"), "node")
-    source = named.select("_id", "_row", F.col(text_col).alias("text")).join(wanted, (F.col("_id") == F.col("_first")) & (F.col("_row") == F.col("_first_row")))
-    sets = settle(_sets(source.select("node", "text"), words).dropDuplicates(["node"]))
-    found = set_links(buckets, sets)
-    grouped = nodes.select("node", "first").join(found, "node", "left").select("first", F.coalesce("component", "node").alias("c"))
-    kept = settle(grouped.groupBy("c").agg(F.min("first").alias("x")).select("x.*"))
-    kept = kept.select(F.col("doc_id").alias("_kept"), F.col("row").alias("_kept_row"))
-    first = named.join(kept, (F.col("_id") == F.col("_kept")) & (F.col("_row") == F.col("_kept_row")), "left_semi")
-    return first.dropDuplicates(["_id", "_row"]).drop("_id", "_row").unionByName(docs.where(F.col(id_col).isNull()))
+    width, segments = sketch_plan(docs.count())
+    bits = width * segments
+    rows, names = with_row_key(docs, id_col)
+    text = rows.select(F.col(names[0]).alias("doc_id"), F.col(names[1]).alias("row"), F.col(text_col).alias("text"))
+    own = settle(_prints(text, words, width, segments))
+    least = F.min(F.struct("doc_id", "row")).alias("first")
+    nodes = settle(own.groupBy("node").agg(least, F.first("n").alias("n"), F.first("value").alias("value"), F.first("flips").alias("flips")))
+    points = lambda some, *also: some.select(F.explode(_keys(width)).alias("key"), "node", _check(width).alias("check"), *also)
+    few = nodes.where(F.pmod("node", F.lit(SAMPLE)) == 0)
+    crowded = settle(points(few).groupBy("key").count().where(F.col("count") >= SAMPLED).select("key"))
+    table = points(nodes)
+    if n_crowded := crowded.count():
+        table = table.join(crowded, "key", "left_anti")
+    near = settle(_pair(F.col("l.node") < F.col("r.node"), table, table))
+    wanted = near.select(F.explode(F.array("a", "b")).alias("node"))
+    if n_crowded:
+        buckets = settle(points(nodes, "n").join(crowded, "key", "left_semi"))
+        wanted = wanted.union(buckets.select("node"))
+    wanted = settle(nodes.join(wanted.distinct(), "node", "left_semi").select("node", "value", "first"))
+    source = text.join(wanted.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row")), ["doc_id", "row"])
+    sets = settle(_sets(source.select("node", "text"), words).dropDuplicates(["node"]).join(wanted.select("node", "value"), "node"))
+    links = settle(_similar(near, sets, bits))
+    if n_crowded:
+        links = crowd_links(links, buckets, sets, bits)
+    grouped = nodes.select("node", "first").join(components(links), "node", "left").select("first", F.coalesce("component", "node").alias("c"))
+    return rows_of(docs, rows, names, grouped.groupBy("c").agg(F.min("first").alias("x")).select("x.doc_id", "x.row"), id_col)
