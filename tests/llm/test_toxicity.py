@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidewell.llm.toxicity import Scorer, Toxicity, fit, op4_toxicity, score_toxicity, subwords, train, words
+from tidewell.llm.toxicity import Scorer, Toxicity, fit, grams, op4_toxicity, sample, score_toxicity, subwords, train, words
 
 SMALL = Toxicity(buckets=1 << 12, epochs=40, scale=60.0)
 
@@ -46,3 +46,63 @@ def test_edge_rows(spark):
     assert out.columns == docs.columns and all(0 <= r.toxicity <= 1 for r in out.collect())
     assert score_toxicity(docs.where(F.lit(False)), (np.zeros(1 << 16), 0.0)).count() == 0
     assert train(docs, spark.createDataFrame([], "doc_id long, toxic int"))[0].sum() == 0
+
+
+def test_fit_against_a_dense_twin():
+    """The same fit written with dense matrices: documents by words, words by buckets, softmax and Adam."""
+    how = Toxicity(buckets=97, epochs=12, min_docs=2, scale=20.0)
+    rng = np.random.default_rng(4)
+    vocab = [f"wörd{chr(97 + i)}{i}" for i in range(26)]
+    texts = [" ".join(rng.choice(vocab, 8)) for _ in range(25)]
+    labels = rng.integers(0, 2, 25).tolist()
+    bags = [set(t.split()) for t in texts]
+    known = sorted(w for w in vocab if sum(w in b for b in bags) >= 2)
+    doc = np.array([[(w in b) / (len(b) + how.pad) for w in known] for b in bags])
+    word = np.zeros((len(known), how.buckets))
+    for i, w in enumerate(known):
+        own = subwords(w, how)
+        for x in own:
+            word[i, x] += 1 / len(own)
+    dice = np.random.default_rng(how.seed)
+    params = [np.zeros((how.dim, how.buckets)), dice.normal(0, 0.5, (2, how.dim)), np.zeros((2, 1))]
+    pace, size = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
+    y = np.eye(2)[:, labels]
+    for t in range(1, how.epochs + 1):
+        emb, out, bias = params
+        kept = np.zeros_like(doc)
+        kept[doc > 0] = dice.random(int((doc > 0).sum())) < how.keep
+        x = doc * kept / how.keep @ word
+        z = out @ (how.scale * emb @ x.T) + bias
+        p = np.exp(z) / np.exp(z).sum(0)
+        d = (p - y) / len(labels)
+        prior = how.prior / len(labels)
+        grads = [how.scale * out.T @ d @ x + prior * emb, d @ (how.scale * emb @ x.T).T + prior * out, d.sum(1, keepdims=True)]
+        for i, g in enumerate(grads):
+            pace[i] = 0.9 * pace[i] + 0.1 * g
+            size[i] = 0.95 * size[i] + 0.05 * g * g
+            params[i] = params[i] - how.rate * (1 - (t - 1) / how.epochs) * (pace[i] / (1 - 0.9**t)) / (np.sqrt(size[i] / (1 - 0.95**t)) + 1e-8)
+    emb, out, bias = params
+    weights, b = fit(texts, labels, how)
+    assert np.allclose(weights, how.scale * (out[1] - out[0]) @ emb, rtol=0.02, atol=0.02) and np.isclose(b, bias[1, 0] - bias[0, 0], atol=0.01)
+
+
+def test_grams():
+    """n-grams of a word with its ends marked, each as often as it occurs, and the whole word."""
+    for w in ("a", "ab", "banana", "\U0001f600é", "x" * 3000):
+        assert len(subwords(w, SMALL)) == 1 + sum(max(0, len(w) + 3 - n) for n in (3, 4, 5))
+    assert set(subwords("banana", SMALL)) & set(subwords("bananas", SMALL)) and subwords("ab", SMALL) != subwords("ba", SMALL)
+    row, bucket = grams(["one", "two", "one"], SMALL)
+    assert bucket[row == 0].tolist() == bucket[row == 2].tolist() == subwords("one", SMALL)
+
+
+def test_sample_is_bounded_and_leaves_the_held_out_fold(spark):
+    docs = spark.createDataFrame([(i, "x" * 100) for i in range(400)] + [(7, "a"), (None, "n")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)] + [(7, 0), (3, 2), (None, 1)], "doc_id long, toxic int")
+    how = Toxicity(sample=20, clean_per_toxic=2)
+    rows = sample(docs, labels, how=how).collect()
+    assert len(rows) == 60 == len({r[0] for r in rows}) and sum(r[1] for r in rows) == 20
+    assert not [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0]
+    assert sum(len(r[2]) for r in sample(docs, labels, how=Toxicity(sample=20, clean_per_toxic=2, sample_bytes=1000)).collect()) <= 1000
+    assert [r[2] for r in sample(docs, labels, how=Toxicity(sample=400)).where("_id = 7").collect()] == ["a"]
+    model = train(docs.limit(0), labels)
+    assert model[0].sum() == 0

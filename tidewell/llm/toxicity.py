@@ -8,6 +8,7 @@ difference of the classes' weights. Misspellings share most n-grams with the wor
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -16,22 +17,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidewell.llm.tables import table
 
-WORD = re.compile(r"[^\W_]+(?:[*@$!'._-]*[^\W_]+)*")
+WORD = re.compile(r"[^\W_]++(?:[*@$!'._-]++[^\W_]++)*+")
 FOLDS = 5
 
 
 @dataclass(frozen=True)
 class Toxicity:
     """Production parameters. At most ``sample`` toxic and ``clean_per_toxic`` times as many clean labelled
-    documents are fitted on, the first by a hash of their ids; everything else covers all rows."""
+    documents, of ``sample_bytes`` in all, are fitted on, the first by a hash of their ids; everything else
+    covers all rows."""
 
     sample: int = 900
     clean_per_toxic: int = 3
+    sample_bytes: int = 32 << 20
     toxic_weight: float = 1.0
     buckets: int = 1 << 16
     dim: int = 4
@@ -39,20 +44,37 @@ class Toxicity:
     epochs: int = 150
     rate: float = 0.3
     scale: float = 300.0
-    prior: float = 0.3
+    prior: float = 0.1
     keep: float = 0.5
-    min_docs: int = 4
-    pad: int = 20
+    min_docs: int = 2
+    pad: int = 40
     seed: int = 7
-    cache_words: int = 1 << 20
+    cache_words: int = 1 << 18
+    texts: int = 256
+
+
+def grams(words: list[str], how: Toxicity) -> tuple[np.ndarray, np.ndarray]:
+    """(word, bucket) of the n-grams of each ``<word>``, and of the wholes, in the order of the words."""
+    size = np.fromiter((len(w) + 2 for w in words), np.int64, len(words))
+    chars = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    owner = np.repeat(np.arange(len(words)), size)
+    left = np.repeat(np.cumsum(size), size) - np.arange(len(chars))
+    lo, hi = how.grams
+    found = [(np.arange(len(words)), np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words)))]
+    h = np.zeros(len(chars), np.uint64)
+    for n in range(1, hi + 1):
+        h = h[: max(0, len(chars) - n + 1)] * np.uint64(0x9E3779B97F4A7C15) + chars[n - 1 :] + np.uint64(1)
+        if n >= lo:
+            whole = left[: len(h)] >= n
+            found.append((owner[: len(h)][whole], (h ^ (h >> np.uint64(29)))[whole] * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)))
+    row, code = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(row, kind="stable")
+    return row[order], (code[order] % np.uint64(how.buckets)).astype(np.int64)
 
 
 def subwords(word: str, how: Toxicity) -> list[int]:
     """Buckets of the n-grams of ``<word>``, and of the whole."""
-    w = f"<{word}>"
-    lo, hi = how.grams
-    grams = {w[i : i + n] for n in range(lo, hi + 1) for i in range(len(w) - n + 1)} | {w}
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % how.buckets for g in sorted(grams)]
+    return grams([word], how)[1].tolist()
 
 
 def words(text: str | None) -> list[str]:
@@ -74,7 +96,8 @@ def fit(texts: list[str | None], labels: list[int], how: Toxicity = Toxicity())
         return np.zeros(how.buckets), float(np.log(share / (1 - share)))
     known = [sorted(vocab[w] for w in b if w in vocab) for b in bags]
     doc = _sparse(known, [[1 / (len(b) + how.pad)] * len(k) for b, k in zip(bags, known)], len(vocab))
-    ids = [subwords(w, how) for w in vocab]
+    row, bucket = grams(list(vocab), how)
+    ids = np.split(bucket, np.flatnonzero(np.diff(row)) + 1)
     word = _sparse(ids, [[1 / len(x)] * len(x) for x in ids], how.buckets)
     rng = np.random.default_rng(how.seed)
     y = np.eye(2, dtype=np.float32)[:, labels]
@@ -145,39 +168,61 @@ class Scorer:
     """Log-odds of whole texts; the weights of words met before are kept, up to a bound."""
 
     def __init__(self, weights: np.ndarray, bias: float, how: Toxicity):
-        self.weights, self.bias, self.how, self.known = weights, bias, how, {}
-
-    def word(self, w: str) -> float:
-        x = float(self.weights[subwords(w, self.how)].mean())
-        if len(self.known) < self.how.cache_words:
-            self.known[w] = x
-        return x
+        self.weights, self.bias, self.how, self.known = weights.astype(np.float64), bias, how, {}
+
+    def learn(self, new: list[str]) -> None:
+        for at in range(0, len(new), 1 << 14):
+            some = new[at : at + (1 << 14)]
+            row, bucket = grams(some, self.how)
+            self.known.update(zip(some, (np.bincount(row, self.weights[bucket]) / np.bincount(row)).tolist()))
+
+    def many(self, texts: list[str | None]) -> list[float]:
+        if len(self.known) > self.how.cache_words:
+            self.known.clear()
+        found = [set(words(t)) for t in texts]
+        if new := set().union(*found).difference(self.known):
+            self.learn(sorted(new))
+        known, pad = self.known.__getitem__, self.how.pad
+        # fsum: the score doesn't depend on the order of a set.
+        z = [self.bias + math.fsum(map(known, f)) / (len(f) + pad) for f in found]
+        return (1 / (1 + np.exp(-np.clip(z, -50, 50)))).tolist()
 
     def __call__(self, text: str | None) -> float:
-        found = set(words(text))
-        known, new = self.known, self.word
-        total = 0.0
-        for w in found:
-            x = known.get(w)
-            total += new(w) if x is None else x
-        z = self.bias + total / (len(found) + self.how.pad)
-        return 1 / (1 + float(np.exp(-min(50.0, max(-50.0, z)))))
+        return self.many([text])[0]
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", how: Toxicity = Toxicity()) -> tuple[np.ndarray, float]:
-    """Fit on a bounded sample of the labelled rows outside the held-out fold; see ``Toxicity``.
+def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", how: Toxicity = Toxicity()) -> DataFrame:
+    """``(_id, _label, _text)`` of the bounded sample that is fitted on; see ``Toxicity``.
 
-    Ids are chosen from the labels alone; only the chosen texts reach the driver. Null ids and labels
-    other than 0 and 1 are left out; without labels of both kinds the model is their share alone.
+    Ids are chosen from the labels alone, with the larger label of an id that repeats; of an id's texts the
+    first in order counts. Null ids and labels other than 0 and 1 are left out.
     """
-    known = labels.where(~held_out(F.col(id_col)) & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_label"))
+    own = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"))
+    known = own.where(F.col("_id").isNotNull() & ~held_out(F.col("_id")) & F.col("_label").isin(0, 1)).groupBy("_id").agg(F.max("_label").cast("int").alias("_label"))
     order = F.xxhash64("_id", F.lit(how.seed))
     pick = lambda label, n: known.where(F.col("_label") == label).orderBy(order, "_id").limit(n)
-    ids = [(r[0], r[1]) for label, n in ((1, how.sample), (0, how.sample * how.clean_per_toxic)) for r in pick(label, n).collect()]
-    chosen = docs.sparkSession.createDataFrame(ids, "_id long, _label int")
-    rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select("_id", F.col(text_col).alias("_text"), "_label").collect()
-    rows.sort(key=lambda r: (r[0], r[1] or ""))
-    return fit([r[1] for r in rows], [int(r[2]) for r in rows], how)
+    # At most (1 + clean_per_toxic) * sample ids.
+    chosen = pick(1, how.sample).unionByName(pick(0, how.sample * how.clean_per_toxic))
+    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text")).join(F.broadcast(chosen), "_id")
+    texts = texts.groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
+    so_far = Window.orderBy(order, "_id").rowsBetween(Window.unboundedPreceding, 0)
+    return texts.withColumn("_bytes", F.sum(F.octet_length("_text")).over(so_far)).where(F.col("_bytes") <= how.sample_bytes).select("_id", "_label", "_text")
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", how: Toxicity = Toxicity()) -> tuple[np.ndarray, float]:
+    """Fit in one task on a bounded sample of the labelled rows outside the held-out fold; see ``sample``.
+
+    The driver gets one row, with a float for each bucket. Without labels of both kinds, or without
+    documents, the model is the share of the labels alone.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+        weights, bias = fit([r[2] for r in rows], [r[1] for r in rows], how)
+        yield pa.record_batch([pa.array([weights.astype(np.float32)], pa.list_(pa.float32())), pa.array([bias])], ["weights", "bias"])
+
+    row = sample(docs, labels, id_col, text_col, label_col, how).repartition(1).mapInArrow(run, "weights array<float>, bias double").first()
+    return (np.array(row[0], np.float32), row[1]) if row else fit([], [], how)
 
 
 def held_out(doc_id):
@@ -189,7 +234,8 @@ def score_toxicity(docs: DataFrame, model: tuple[np.ndarray, float], text_col: s
     """``docs`` with a column of scores from 0 to 1 for whole texts, from nothing but the text.
 
     Null and empty texts have the model's bias alone; repeated rows score alike; a column named ``out`` is
-    replaced. Batch by batch without a shuffle; the model is one float for each bucket.
+    replaced, any other stays; an empty table gives an empty table. Batch by batch without a shuffle; the
+    model is one float for each bucket.
     """
     weights, bias = model[0].astype(np.float32), model[1]
 
@@ -197,7 +243,8 @@ def score_toxicity(docs: DataFrame, model: tuple[np.ndarray, float], text_col: s
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(weights, bias, how)
         for b in batches:
-            yield pd.Series([scorer(t) for t in b], dtype="float64")
+            texts = b.tolist()
+            yield pd.Series([x for at in range(0, len(texts), how.texts) for x in scorer.many(texts[at : at + how.texts])], dtype="float64")
 
     return docs.withColumn(out, run(F.col(text_col)))
 
