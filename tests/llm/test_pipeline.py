@@ -4,7 +4,7 @@ from collections import Counter
 import corpus_pipeline
 from tests.llm.test_lines import brute as brute_lines
 from tests.llm.test_secrets import brute as brute_secrets
-from tests.llm.test_simhash import brute_components, brute_print
+from tests.llm.test_similar import brute_kept
 from tidewell.llm.lines import MAX_RATIO, MIN_PAGES
 from tidewell.llm.toxicity import Scorer, Toxicity, train
 
@@ -27,8 +27,8 @@ def test_stages_against_brute_force(spark):
     assert Counter(rows["toxicity"]) == Counter(r for r in start if score(r[1]) < 0.5)
     cleaned = brute_lines([(r[0], r[3], r[1]) for r in rows["toxicity"]], MAX_RATIO, MIN_PAGES)
     assert Counter((r[0], r[3], r[1]) for r in rows["line_dedup"]) == Counter(cleaned)
-    groups = brute_components([(r[0], brute_print(r[1])) for r in rows["line_dedup"]])
-    assert Counter(rows["simhash"]) == Counter(r for r in rows["line_dedup"] if groups[r[0]] == r[0])
+    kept = brute_kept([(r[0], r[1]) for r in rows["line_dedup"]])
+    assert Counter(rows["simhash"]) == Counter(r for r in rows["line_dedup"] if r[0] in kept)
     for r in rows["secrets"]:
         assert not [s for s in brute_secrets(r[1]) if s[1] < 3] and r[4] == len(r[1])
     assert {r[0] for r in rows["secrets"]} == {r[0] for r in rows["simhash"]}
