@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewell.llm.tables import table
+from tidewell.llm.tables import settle, table
 
 
 def tokenizer_path(name: str) -> str:
@@ -95,7 +95,10 @@ def byte_encoding(path: str):
 
 
 def token_counts(docs: DataFrame, text_col: str = "text", out: str = "n_tokens", path: str | None = None) -> DataFrame:
-    """``docs`` with the number of tokens of each whole text; null text has none. No shuffle."""
+    """``docs`` with the number of tokens of each whole text; null and empty texts have none. No shuffle.
+
+    Repeated rows are counted each; an empty table gives an empty table; a column named ``out`` is replaced, any other stays.
+    """
     path = path or tokenizer_path(TOKENIZER)
 
     @F.pandas_udf("long")
@@ -114,10 +117,10 @@ def length_histogram(counted: DataFrame, col: str = "n_tokens", step: int = STEP
     ``total_docs``, ``total_tokens``, ``quantile`` (part of documents of length L or less) and
     ``truncated_tokens``, the sum of min(length, L). Null lengths are left out; an empty table gives none.
 
-    Documents are counted per length before the shuffle. Suffix sums go first over steps of lengths, then
-    within each, so no task sorts all lengths.
+    Documents are counted per length before the shuffle, and the counts written once, so that each length is
+    worked out once. Suffix sums go first over steps of lengths, then within each, so no task sorts all lengths.
     """
-    hist = counted.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("long").alias("n_tokens")).agg(F.count("*").alias("n_docs"))
+    hist = settle(counted.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("long").alias("n_tokens")).agg(F.count("*").alias("n_docs")))
     hist = hist.withColumn("_step", F.expr(f"n_tokens div {step}"))
     steps = hist.groupBy("_step").agg(F.sum("n_docs").alias("d"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("t"))
     after = Window.orderBy(F.col("_step").desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -136,5 +139,24 @@ def length_histogram(counted: DataFrame, col: str = "n_tokens", step: int = STEP
     )
 
 
+def at_limits(histogram: DataFrame, limits: list[int]) -> DataFrame:
+    """One row per context limit, whether or not a text has that length: ``context_limit, n_docs, n_tokens,
+    docs_over, truncated_tokens``, from the suffix sums at the least length that is longer.
+
+    An empty histogram gives no documents and no tokens at each limit.
+    """
+    longer = lambda n: F.min_by(F.struct("docs_from", "tokens_from"), F.when(F.col("n_tokens") > n, F.col("n_tokens")))
+    rows = F.array(*[F.struct(F.lit(n).cast("long").alias("context_limit"), longer(n).alias("s")) for n in limits])
+    found = histogram.agg(F.coalesce(F.first("total_docs"), F.lit(0)).alias("n_docs"), F.coalesce(F.first("total_tokens"), F.lit(0)).alias("n_tokens"), rows.alias("r"))
+    over, tokens = F.coalesce("r.s.docs_from", F.lit(0)), F.coalesce("r.s.tokens_from", F.lit(0))
+    return found.withColumn("r", F.explode("r")).select("r.context_limit", "n_docs", "n_tokens", over.alias("docs_over"), (F.col("n_tokens") - tokens + over * F.col("r.context_limit")).alias("truncated_tokens"))
+
+
+def quantile_lengths(histogram: DataFrame, parts: list[float]) -> DataFrame:
+    """``part, n_tokens``: the least length that at least a part of all documents doesn't exceed; null for an empty histogram."""
+    rows = F.array(*[F.struct(F.lit(q).alias("part"), F.min(F.when(F.col("quantile") >= q, F.col("n_tokens"))).alias("n_tokens")) for q in parts])
+    return histogram.agg(rows.alias("r")).select(F.explode("r").alias("r")).select("r.part", "r.n_tokens")
+
+
 def op6_token_counts(spark, sf_dir: str) -> DataFrame:
     return length_histogram(token_counts(table(spark, sf_dir, "documents").select("text")))
