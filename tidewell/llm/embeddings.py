@@ -17,13 +17,17 @@ from tidewell.llm.tables import settle, table
 
 @dataclass(frozen=True)
 class MultiIndex:
-    """Production parameters. The codebooks are fitted on at most ``sample`` distinct vectors; all are indexed."""
+    """Production parameters. All vectors are indexed. Codes of a half number the square root of the cells that
+    hold ``vectors_per_cell`` each, so that cells grow with the vectors. The codebooks are fitted on ``sample``
+    distinct vectors, or on ``sample_per_code`` for each code, up to ``most_sample``, which is reached at two
+    thousand million vectors; from there on cells hold more."""
 
     cosine: float = 0.95
     recall: float = 0.995
     sample: int = 20_000
+    sample_per_code: int = 8
+    most_sample: int = 1 << 17
     vectors_per_cell: int = 8
-    most_codes: int = 256
     rounds: int = 8
     block: int = 2048
     seed: int = 11
@@ -70,11 +74,25 @@ def _squared(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return (x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1)[None]
 
 
+def _codes(total: int, how: MultiIndex) -> int:
+    return max(2, min(int((total / how.vectors_per_cell) ** 0.5), how.most_sample // how.sample_per_code))
+
+
+def _nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    rows = _rows_at_once(len(c))
+    return np.concatenate([_squared(x[at : at + rows], c).argmin(1) for at in range(0, len(x), rows)])
+
+
+def _rows_at_once(codes: int) -> int:
+    """Vectors whose distances to all codes are held at once: two million numbers."""
+    return max(16, min(1024, (1 << 21) // codes))
+
+
 def _means(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.ndarray:
     """Lloyd's algorithm from ``k`` sampled points; a code that no point is nearest to keeps its place."""
     c = x[rng.choice(len(x), k, replace=False)].copy()
     for _ in range(rounds):
-        near = _squared(x, c).argmin(1)
+        near = _nearest(x, c)
         n = np.bincount(near, minlength=k)
         total = np.zeros_like(c)
         np.add.at(total, near, x)
@@ -90,16 +108,20 @@ def fit(sample: np.ndarray, total: int, how: MultiIndex) -> Codebooks:
     """
     rng = np.random.default_rng(how.seed)
     half = (sample.shape[1] + 1) // 2
-    k = int(min(how.most_codes, max(2, (total / how.vectors_per_cell) ** 0.5), len(sample)))
+    k = min(_codes(total, how), len(sample))
     books = Codebooks(_means(sample[:, :half], k, how.rounds, rng), _means(sample[:, half:], k, how.rounds, rng), 0.0)
+    sample = sample[: how.sample]
     noise = rng.normal(size=sample.shape)
     noise -= (noise * sample).sum(1)[:, None] * sample
     norm = np.linalg.norm(noise, axis=1, keepdims=True)
     other = how.cosine * sample + (1 - how.cosine**2) ** 0.5 * noise / np.where(norm > 0, norm, 1)
-    d1, d2 = books.distances(sample)
-    cell = books.cells(*books.distances(other))
-    rows = np.arange(len(sample))
-    extra = d1[rows, cell // k] + d2[rows, cell % k] - d1.min(1) - d2.min(1)
+    extra = []
+    for at in range(0, len(sample), _rows_at_once(k)):
+        d1, d2 = books.distances(sample[at : at + _rows_at_once(k)])
+        cell = books.cells(*books.distances(other[at : at + _rows_at_once(k)]))
+        rows = np.arange(len(d1))
+        extra.append(d1[rows, cell // k] + d2[rows, cell % k] - d1.min(1) - d2.min(1))
+    extra = np.concatenate(extra)
     return Codebooks(books.first, books.second, float(np.quantile(extra, how.recall)))
 
 
@@ -142,13 +164,14 @@ def _block_links(t: pd.DataFrame, p: pd.DataFrame, cell: int, books: Codebooks,
 
 def _links(vectors: DataFrame, total: int, how: MultiIndex) -> DataFrame:
     """``(a, b, n)`` from distinct vectors ``(rep, m, v)``: a count row has b = -1, a link row n = 0."""
-    rows = vectors.orderBy(F.xxhash64("rep", F.lit(how.seed)), "rep").limit(how.sample).select("v").collect()
-    books = fit(_unit(r[0] for r in rows), total, how)
+    wanted = min(how.most_sample, max(how.sample, how.sample_per_code * _codes(total, how)))
+    sampled = vectors.orderBy(F.xxhash64("rep", F.lit(how.seed)), "rep").limit(wanted).select("v").toArrow().column("v").combine_chunks()
+    books = fit(_unit(sampled.flatten().to_numpy(zero_copy_only=False).reshape(len(sampled), -1)), total, how)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 1024):
-                b = batch.slice(at, 1024)
+            for at in range(0, len(batch), _rows_at_once(books.codes)):
+                b = batch.slice(at, _rows_at_once(books.codes))
                 d1, d2 = books.distances(_unit(b.column("v").to_pylist()))
                 visited = list(books.visits(d1, d2))
                 row = np.r_[np.arange(len(b)), np.repeat(np.arange(len(b)), [len(v) for v in visited])]
@@ -179,8 +202,8 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
 
     Equal vectors are one entry of the index with their number, and link with each other. A vector that
     is null, empty, zero or has a null or non-finite component links with nothing; vectors of different
-    lengths never do. Repeated ids are vectors of their own; null ids take no part and get a null
-    component. An empty table gives none.
+    lengths never do, and each length has an index of its own. Repeated ids are vectors of their own; null
+    ids take no part and get a null component. An empty table gives none; other columns play no part.
     """
     rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
     fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
