@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.tables import settle, table
+from tidewell.llm.tables import settle, table, unused
 
 #: Drop a line that stands on more than this part of its host's pages, and on at least so many pages.
 MAX_RATIO = 0.1
@@ -42,27 +42,30 @@ def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str =
     """``docs`` with the boilerplate lines of each host taken out of the text; no row is dropped.
 
     Lines end at ``\\n``; blank lines are never dropped and count for nothing. Null text stays null and a
-    null host keeps all its lines. ``counts`` adds ``n_lines`` and ``n_dropped``. The lists of lines are
+    null host keeps all its lines. ``counts`` adds ``n_lines`` and ``n_dropped``, in place of columns of that
+    name; any other column stays. Repeated rows are pages of their own; an empty table gives an empty table.
+    The lists of lines are
     broadcast after their rows are counted; beyond ``broadcast_lines`` the pages are joined to them by
     host and salt, so that a hot host goes to many tasks.
     """
     lines = settle(boilerplate(docs, host_col, text_col, max_ratio, min_pages))
     few = lines.count() <= broadcast_lines
-    lists = lines.groupBy(F.col("host").alias("_host")).agg(F.collect_set(F.struct("h1", "h2")).alias("_lines"))
+    host, bad, salt, own = unused(docs, "host", "lines", "salt", "own")
+    lists = lines.groupBy(F.col("host").alias(host)).agg(F.collect_set(F.struct("h1", "h2")).alias(bad))
     if few:
-        joined = docs.join(F.broadcast(lists), docs[host_col] == F.col("_host"), "left")
+        joined = docs.join(F.broadcast(lists), F.col(host_col) == F.col(host), "left")
     else:
-        salted = lists.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        own = docs.withColumn("_own", F.pmod(F.xxhash64(text_col), F.lit(SALTS)).cast("int"))
-        joined = own.join(salted, (F.col(host_col) == F.col("_host")) & (F.col("_own") == F.col("_salt")), "left").drop("_own", "_salt")
+        salted = lists.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        dealt = docs.withColumn(own, F.pmod(F.xxhash64(text_col), F.lit(SALTS)).cast("int"))
+        joined = dealt.join(salted, (F.col(host_col) == F.col(host)) & (F.col(own) == F.col(salt)), "left").drop(own, salt)
     parts = F.split(text_col, "\n", -1)
-    gone = lambda line: F.coalesce(F.array_contains(F.col("_lines"), _line_key(line)), F.lit(False))
+    gone = lambda line: F.coalesce(F.array_contains(F.col(bad), _line_key(line)), F.lit(False))
     kept = F.filter(parts, lambda line: ~gone(line))
-    cleaned = F.when(F.col("_lines").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    cleaned = F.when(F.col(bad).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     if counts:
         joined = joined.withColumns({"n_lines": F.coalesce(F.size(F.filter(parts, lambda x: F.trim(x) != "")), F.lit(0)).cast("long"),
-                                     "n_dropped": F.when(F.col("_lines").isNull() | F.col(text_col).isNull(), 0).otherwise(F.size(parts) - F.size(kept)).cast("long")})
-    return joined.withColumn(text_col, cleaned).drop("_host", "_lines")
+                                     "n_dropped": F.when(F.col(bad).isNull() | F.col(text_col).isNull(), 0).otherwise(F.size(parts) - F.size(kept)).cast("long")})
+    return joined.withColumn(text_col, cleaned).drop(host, bad)
 
 
 def op3_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -231,7 +231,11 @@ def packet_table(media: DataFrame, id_col: str, content_col: str = "content") ->
 
 
 def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frame: int = FRAME) -> DataFrame:
-    """``doc_id, n_bytes, content``: each text's UTF-8, spaces up to a positive multiple of ``frame``, as a file of 8-bit samples."""
+    """``doc_id, n_bytes, content``: each text's UTF-8, spaces up to a positive multiple of ``frame``, as a file of 8-bit samples.
+
+    Null text is empty and so one frame of spaces; null and repeated ids are rows like any other; an empty
+    table gives an empty table; other columns play no part.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -245,12 +249,19 @@ def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def sample_features(media: DataFrame) -> DataFrame:
-    """Digests of stored 8-bit media ``(doc_id, n_bytes, content)``: the payload is put together from the packets' byte ranges."""
+    """Digests of stored 8-bit media ``(doc_id, n_bytes, content)``: the payload is put together from the packets' byte ranges.
+
+    Null content has null digests, and so has content that is no Matroska file; a file without packets has
+    an empty payload. Repeated rows are each read; an empty table gives an empty table.
+    """
     names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
 
-    def features(raw: bytes) -> tuple:
-        tracks, packets, cues = parse_matroska(raw)
+    def features(raw: bytes | None) -> tuple:
+        try:
+            tracks, packets, cues = parse_matroska(raw or b"")
+        except (ValueError, IndexError, KeyError, struct.error):
+            return (None,) * 6
         payload = b"".join([raw[p[2] : p[2] + p[3]] for p in packets])
         x = np.frombuffer(payload, np.uint8).astype(np.int64)
         end_ms = (packets[-1][1] // 1_000_000 + FRAME_MS) if packets else 0

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewell.llm.tables import settle, table
+from tidewell.llm.tables import settle, table, unused
 from tidewell.llm.tokens import WordTokenizer, tokenizer_path
 
 CAPACITY = 2048
@@ -141,7 +141,8 @@ class BinPlan:
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, path: str | None = None, end_id: int = END_ID) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: each document's ids and the end id, cut at ``capacity``.
 
-    Null text is empty and still has the end id, so each row has a piece.
+    Null text is empty and still has the end id, so each row has a piece. Null and repeated ids are rows like
+    any other; an empty table gives none; other columns play no part.
     """
     path = path or tokenizer_path(TOKENIZER)
     end = np.uint32(end_id).astype("<u4").tobytes()
@@ -164,11 +165,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, parts: int = PARTS) -> Dat
     """``pieces`` (with ``doc_id, piece, length``) and their ``sequence_id`` and ``offset``.
 
     The histogram over (length, part), of bounded size, is all that reaches the driver; parts come from a
-    hash, so that a length which a third of all rows share is ranked by many tasks. Repeated rows and null
-    ids are ranked like any other; an empty table gives an empty table.
+    hash of the whole row, so that a length which a third of all rows share is ranked by many tasks. Repeated
+    rows and null ids are ranked like any other; an empty table gives an empty table; columns named
+    ``sequence_id`` or ``offset`` are replaced, any others stay.
     """
-    pieces = settle(pieces)
-    part = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)).cast("int")
+    pieces = settle(pieces.drop("sequence_id", "offset"))
+    part_, rank_ = unused(pieces, "part", "rank")
+    row = F.xxhash64(*pieces.columns)
+    part = F.pmod(row, F.lit(parts)).cast("int")
     counts = sorted((r[0], r[1], r[2]) for r in pieces.groupBy("length", part.alias("part")).count().collect())
     first, totals = np.zeros((capacity + 1, parts), np.int64), {}
     for length, p, n in counts:
@@ -181,15 +185,15 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, parts: int = PARTS) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols = {n: b.column(n) for n in b.schema.names}
-            length, p, n = (cols[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("length", "_part", "_rank"))
+            length, p, n = (cols[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("length", part_, rank_))
             rank = first[length, p] + n - 1
             i = np.searchsorted(keys, (length << 44) | rank, side="right") - 1
             nth = rank - lo[i]
-            kept = {k: v for k, v in cols.items() if k not in ("_part", "_rank")}
+            kept = {k: v for k, v in cols.items() if k not in (part_, rank_)}
             yield pa.record_batch([*kept.values(), pa.array(bins[i] + nth // per[i]), pa.array(at[i] + nth % per[i] * length)], [*kept, "sequence_id", "offset"])
 
-    order = Window.partitionBy("length", "_part").orderBy("doc_id", "piece")
-    return pieces.withColumn("_part", part).withColumn("_rank", F.row_number().over(order)).mapInArrow(run, schema)
+    order = Window.partitionBy("length", part_).orderBy(row, "doc_id", "piece")
+    return pieces.withColumn(part_, part).withColumn(rank_, F.row_number().over(order)).mapInArrow(run, schema)
 
 
 def op5_packing(spark, sf_dir: str) -> DataFrame:
