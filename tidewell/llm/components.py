@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.tables import settle
+from tidewell.llm.tables import forget, settle
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -32,7 +32,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(lowest, "hi").select(
             F.explode(F.array(F.struct(F.col("hi").alias("hi"), F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("x")
         )
-        e = settle(small.select("x.hi", "x.lo").where("hi <> lo").distinct())
+        before, e = e, settle(small.select("x.hi", "x.lo").where("hi <> lo").distinct())
+        forget(before)
         was, mark = mark, _mark(e)
         if was == mark:
             break

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.components import components
-from tidewell.llm.tables import settle, table, unused
+from tidewell.llm.tables import forget, settle, table, unused
 
 BITS = 64
 SHINGLE_WORDS = 4
@@ -188,7 +188,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     rows, (i, row) = with_row_key(docs, id_col)
     fp = fingerprints(rows, i, text_col, words, also=row)
     prints = settle(fp.groupBy("fp").agg(F.min(F.struct(F.col("doc_id"), F.col("also").alias("row"))).alias("first")))
-    return rows_of(docs, rows, (i, row), _groups(prints, distance, None, BUCKET_ROWS).select("first.doc_id", "first.row"), id_col)
+    kept = settle(_groups(prints, distance, None, BUCKET_ROWS).select("first.doc_id", "first.row"))
+    forget(prints)
+    return rows_of(docs, rows, [i, row], kept, id_col)
 
 
 def with_row_key(docs: DataFrame, id_col: str) -> tuple[DataFrame, list[str]]:
@@ -199,7 +201,7 @@ def with_row_key(docs: DataFrame, id_col: str) -> tuple[DataFrame, list[str]]:
 
 def rows_of(docs: DataFrame, rows: DataFrame, names: list[str], kept: DataFrame, id_col: str) -> DataFrame:
     """One row for each of ``kept(doc_id, row)``, and all rows of ``docs`` without an id."""
-    keys = settle(kept).select(F.col("doc_id").alias(f"{names[0]}k"), F.col("row").alias(f"{names[1]}k"))
+    keys = kept.select(F.col("doc_id").alias(f"{names[0]}k"), F.col("row").alias(f"{names[1]}k"))
     found = rows.join(keys, (F.col(names[0]) == F.col(f"{names[0]}k")) & (F.col(names[1]) == F.col(f"{names[1]}k")), "left_semi")
     return found.dropDuplicates(names).drop(*names).unionByName(docs.where(F.col(id_col).isNull()))
 
