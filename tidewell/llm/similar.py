@@ -7,6 +7,7 @@ segments as the wanted recall takes, each as wide as the number of texts takes.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.components import components
 from tidewell.llm.simhash import SEED, rows_of, with_row_key
-from tidewell.llm.tables import settle
+from tidewell.llm.tables import forget, settle
 
 WORDS = 5
 #: Least similarity, as a fraction of whole numbers: the comparison has no rounding.
@@ -28,9 +29,9 @@ MISS = 0.005
 #: Bits of a segment that are flipped in turn, those of the narrowest majority; they hold about 0.85 of what all would find.
 FLIPS = 7
 FLIPS_HOLD = 0.85
-#: Candidates differ in at most this part of a fingerprint's bits, and in so many of its first 64.
+#: Candidates differ in at most this part of a fingerprint's bits, and of its first bits, which fill so many numbers.
 MOST_BITS = 0.3
-MOST_CHECK_BITS = 20
+CHECKS = ("check0", "check1")
 #: A bucket is crowded from about SAMPLED * SAMPLE rows: it is looked for among one in SAMPLE texts. All pairs of others are compared.
 SAMPLE = 16
 SAMPLED = 4
@@ -123,12 +124,12 @@ def _keys(width: int) -> Column:
     return F.flatten(F.transform("value", ball))
 
 
-def _check(width: int) -> Column:
-    """The first bits of a fingerprint, up to 64, in one number."""
-    parts = [F.shiftleft(F.coalesce(F.get("value", F.lit(k)), F.lit(0)), k * width) for k in range(64 // width)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.bitwiseOR(p)
+def _checks(width: int) -> list[Column]:
+    """The first segments of a fingerprint, as many to a number as have room in 64 bits."""
+    each, out = 64 // width, []
+    for n, name in enumerate(CHECKS):
+        parts = [F.shiftleft(F.coalesce(F.get("value", F.lit(n * each + k)), F.lit(0)), k * width) for k in range(each)]
+        out.append(reduce(lambda x, y: x.bitwiseOR(y), parts).alias(name))
     return out
 
 
@@ -146,15 +147,16 @@ def _similar(pairs: DataFrame, sets: DataFrame, bits: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(near).select("a", "b")
 
 
-def _pair(where: Column, left: DataFrame, right: DataFrame) -> DataFrame:
+def _pair(where: Column, left: DataFrame, right: DataFrame, width: int) -> DataFrame:
     """``(a, b)`` of rows ``l`` and ``r`` under one key whose first bits are near, once each."""
-    check = _bits(F.col("l.check").bitwiseXOR(F.col("r.check"))) <= MOST_CHECK_BITS
+    differ = [_bits(F.col(f"l.{c}").bitwiseXOR(F.col(f"r.{c}"))) for c in CHECKS]
+    check = reduce(lambda x, y: x + y, differ) <= int(MOST_BITS * len(CHECKS) * (64 // width * width))
     met = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & where & check)
     return met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
 
 
-def crowd_links(links: DataFrame, buckets: DataFrame, sets: DataFrame, bits: int) -> DataFrame:
-    """``links(a, b)`` and enough more to connect what similar pairs within ``buckets(key, node, n, check)`` connect.
+def crowd_links(links: DataFrame, buckets: DataFrame, sets: DataFrame, width: int, segments: int) -> DataFrame:
+    """``links(a, b)`` and enough more to connect what similar pairs within ``buckets(key, node, n, check0, check1)`` connect.
 
     Only what isn't connected yet needs comparing. While crowded buckets hold many such pairs, each round
     compares all rows of a bucket with one leader, which connects a large group in time linear in its rows;
@@ -165,7 +167,7 @@ def crowd_links(links: DataFrame, buckets: DataFrame, sets: DataFrame, bits: int
     n_rows = buckets.count()
     for t in range(LEADER_ROUNDS + 1):
         named = components(links).select("node", F.col("component").alias("c_"))
-        rows = buckets.join(named, "node", "left").select("key", "node", "n", "check", F.coalesce("c_", "node").alias("c"))
+        rows = buckets.join(named, "node", "left").select("key", "node", "n", *CHECKS, F.coalesce("c_", "node").alias("c"))
         parts = settle(rows.groupBy("key", "c").agg(F.count("*").alias("k")))
         whole = parts.groupBy("key").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("own"), F.max_by("c", F.struct("k", "c")).alias("largest"))
         whole = settle(whole.where("all * all > own"))
@@ -177,9 +179,9 @@ def crowd_links(links: DataFrame, buckets: DataFrame, sets: DataFrame, bits: int
         if last:  # one end of each pair lies outside the bucket's largest component
             side = rows.where("c <> largest")
         else:
-            side = rows.groupBy("key").agg(F.min_by(F.struct("node", "n", "check", "c"), F.struct(F.xxhash64("node", F.lit(t)), "node")).alias("x")).select("key", "x.*")
-        pairs = settle(_pair((F.col("l.c") != F.col("r.c")) & can, side, rows))
-        links = links.unionByName(settle(_similar(pairs, sets, bits)))
+            side = rows.groupBy("key").agg(F.min_by(F.struct("node", "n", *CHECKS, "c"), F.struct(F.xxhash64("node", F.lit(t)), "node")).alias("x")).select("key", "x.*")
+        pairs = settle(_pair((F.col("l.c") != F.col("r.c")) & can, side, rows, width))
+        links = links.unionByName(settle(_similar(pairs, sets, width * segments)))
         if last:
             break
     return links
@@ -198,19 +200,18 @@ def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     than about ten shingles. Sets are known by a 64-bit hash.
     """
     width, segments = sketch_plan(docs.count())
-    bits = width * segments
     rows, names = with_row_key(docs, id_col)
     text = rows.select(F.col(names[0]).alias("doc_id"), F.col(names[1]).alias("row"), F.col(text_col).alias("text"))
     own = settle(_prints(text, words, width, segments))
     least = F.min(F.struct("doc_id", "row")).alias("first")
     nodes = settle(own.groupBy("node").agg(least, F.first("n").alias("n"), F.first("value").alias("value"), F.first("flips").alias("flips")))
-    points = lambda some, *also: some.select(F.explode(_keys(width)).alias("key"), "node", _check(width).alias("check"), *also)
+    points = lambda some, *also: some.select(F.explode(_keys(width)).alias("key"), "node", *_checks(width), *also)
     few = nodes.where(F.pmod("node", F.lit(SAMPLE)) == 0)
     crowded = settle(points(few).groupBy("key").count().where(F.col("count") >= SAMPLED).select("key"))
-    table = points(nodes)
+    table, buckets = points(nodes), None
     if n_crowded := crowded.count():
         table = table.join(crowded, "key", "left_anti")
-    near = settle(_pair(F.col("l.node") < F.col("r.node"), table, table))
+    near = settle(_pair(F.col("l.node") < F.col("r.node"), table, table, width))
     wanted = near.select(F.explode(F.array("a", "b")).alias("node"))
     if n_crowded:
         buckets = settle(points(nodes, "n").join(crowded, "key", "left_semi"))
@@ -218,8 +219,10 @@ def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     wanted = settle(nodes.join(wanted.distinct(), "node", "left_semi").select("node", "value", "first"))
     source = text.join(wanted.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row")), ["doc_id", "row"])
     sets = settle(_sets(source.select("node", "text"), words).dropDuplicates(["node"]).join(wanted.select("node", "value"), "node"))
-    links = settle(_similar(near, sets, bits))
+    links = settle(_similar(near, sets, width * segments))
     if n_crowded:
-        links = crowd_links(links, buckets, sets, bits)
+        links = crowd_links(links, buckets, sets, width, segments)
     grouped = nodes.select("node", "first").join(components(links), "node", "left").select("first", F.coalesce("component", "node").alias("c"))
-    return rows_of(docs, rows, names, grouped.groupBy("c").agg(F.min("first").alias("x")).select("x.doc_id", "x.row"), id_col)
+    kept = settle(grouped.groupBy("c").agg(F.min("first").alias("x")).select("x.doc_id", "x.row"))
+    forget(own, nodes, crowded, near, wanted, sets, links, buckets)
+    return rows_of(docs, rows, names, kept, id_col)
