@@ -28,9 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where that is unset (tests), a temporary one."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset, a temporary one on a single machine, and an error on a cluster."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="spark-tidewell-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(path)
     return path
@@ -38,3 +40,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/tidewell-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back.
+
+    What follows starts from files that every executor can read, so a lost executor costs a re-read and
+    never a re-computation, and Spark knows the true size of the table when it chooses a join. ``forget``
+    deletes the files once nothing reads them any more.
+    """
+    path = fresh_path(df.sparkSession)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.settled_at = path
+    return out
+
+
+def forget(*settled: DataFrame | None) -> None:
+    """Delete the files of settled tables; what was made from them must have been written before."""
+    for df in settled:
+        if path := getattr(df, "settled_at", None):
+            context = df.sparkSession.sparkContext
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
