@@ -8,17 +8,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: The formats of key segments and message fields.
-DOMAIN = r"^[a-z0-9-]{1,50}$"
-TABLE = r"^[a-z0-9_]{1,50}$"
-BUCKET = r"^[a-z0-9][a-z0-9.-]{1,61}[a-z0-9]$"
-SEGMENTS = {
-    "interval": r"^interval=([a-z0-9_-]{1,50})$",
-    "data_source": r"^data_source=([a-z0-9_-]{1,100})$",
-    "year": r"^year=(\d{4})$",
-    "month": r"^month=(0[1-9]|1[0-2])$",
-    "day": r"^day=(0[1-9]|[12]\d|3[01])$",
-    "layer": r"^layer=([a-z0-9_-]{1,50})$",
+FORMATS = {
+    "domain": r"[a-z0-9-]{1,50}",
+    "table_name": r"[a-z0-9_]{1,50}",
+    "interval": r"[a-z0-9_-]{1,50}",
+    "data_source": r"[a-z0-9_-]{1,100}",
+    "year": r"\d{4}",
+    "month": r"0[1-9]|1[0-2]",
+    "day": r"0[1-9]|[12]\d|3[01]",
+    "layer": r"[a-z0-9_-]{1,50}",
+    "ds": r"\d{4}-\d{2}-\d{2}",
 }
+BUCKET = r"\A[a-z0-9][a-z0-9.-]{1,61}[a-z0-9]\z"
+_NAMED = ("interval", "data_source", "year", "month", "day", "layer")
+#: A whole curated key; its groups are the fields before ``ds``, in order.
+_CURATED = rf"\A({FORMATS['domain']})/({FORMATS['table_name']})/interval=({FORMATS['interval']})(?:/data_source=({FORMATS['data_source']}))?" + "".join(
+    f"/{n}=({FORMATS[n]})" for n in ("year", "month", "day", "layer")) + r"/(?s:.*)\.parquet\z"
+
+
+def whole(name: str) -> str:
+    """Pattern of a text that is a field in full."""
+    return rf"\A(?:{FORMATS[name]})\z"
 
 
 def first_of(*checks: tuple[Column, str]) -> Column:
@@ -34,27 +44,32 @@ def _parts(key: Column) -> tuple[Column, dict[str, Column]]:
     return p, where | {n: F.get(p, at + i) for i, n in enumerate(("year", "month", "day", "layer"))}
 
 
+def is_curated_key(key: Column) -> Column:
+    """Whether a key is a curated Parquet file's: one match, for what needs no reason. False for null."""
+    return F.coalesce(key.rlike(_CURATED), F.lit(False))
+
+
 def curated_key_error(key: Column) -> Column:
     """Why a key is no curated Parquet file's, or null; the first failing rule decides."""
     p, seg = _parts(key)
-    bad = lambda n: ~seg[n].rlike(SEGMENTS[n])
-    return first_of(
+    bad = lambda n: ~seg[n].rlike(rf"\A{n}=(?:{FORMATS[n]})\z")
+    reason = first_of(
         (key == "", "key must be a non-empty string"),
         (F.size(p) < 8, "Invalid curated key format"),
-        (~F.get(p, F.lit(0)).rlike(DOMAIN), "Invalid domain in key"),
-        (~F.get(p, F.lit(1)).rlike(TABLE), "Invalid table in key"),
+        (~F.get(p, F.lit(0)).rlike(whole("domain")), "Invalid domain in key"),
+        (~F.get(p, F.lit(1)).rlike(whole("table_name")), "Invalid table in key"),
         (bad("interval"), "Invalid interval segment in key"),
         (seg["data_source"].isNotNull() & F.coalesce(bad("data_source"), F.lit(False)), "Invalid data_source segment in key"),
         *((bad(n), f"Invalid {n} segment in key") for n in ("year", "month", "day", "layer")),
         (~F.endswith(key, F.lit(".parquet")), "Load objects must be Parquet files"),
     )
+    return F.when(~is_curated_key(key), reason)
 
 
 def parse_curated_key(key: Column) -> dict[str, Column]:
-    """Columns of a valid key; check ``curated_key_error`` first."""
-    p, seg = _parts(key)
-    out = {"domain": F.get(p, F.lit(0)), "table_name": F.get(p, F.lit(1))}
-    out |= {n: F.when(seg[n].isNotNull(), F.regexp_extract(seg[n], SEGMENTS[n], 1)) for n in ("interval", "data_source", "year", "month", "day", "layer")}
+    """Columns of a valid key; check ``is_curated_key`` or ``curated_key_error`` first."""
+    out = {n: F.regexp_extract(key, _CURATED, i) for i, n in enumerate(("domain", "table_name", *_NAMED), 1)}
+    out["data_source"] = F.nullif(out["data_source"], F.lit(""))
     return out | {"ds": F.concat_ws("-", out["year"], out["month"], out["day"])}
 
 
@@ -79,9 +94,25 @@ def fill_from_key(value: Column, key: Column, name: str) -> Column:
     return F.coalesce(F.nullif(F.trim(value), F.lit("")), _found(key, f"{name}=([^/]+)/"))
 
 
-def layer_path(domain: Column, table: Column, interval: Column, source: Column, ds: Column, layer: Column) -> Column:
-    """Prefix of a day's layer; a blank source leaves its segment out, a day that is none gives null."""
-    day = F.when(ds.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.split(ds, "-"))
+def _day_path(domain: Column, table: Column, interval: Column, source: Column, ds: Column, *rest: Column) -> Column:
+    """A day's prefix and what follows it; a blank source leaves its segment out, a day that is none gives null."""
+    day = F.when(ds.rlike(whole("ds")), F.split(ds, "-"))
     source = F.nullif(source, F.lit(""))
     return F.when(day.isNotNull(), F.concat_ws("/", domain, table, F.concat(F.lit("interval="), interval), F.concat(F.lit("data_source="), source),
-                  F.concat(F.lit("year="), day[0]), F.concat(F.lit("month="), day[1]), F.concat(F.lit("day="), day[2]), F.concat(F.lit("layer="), layer)))
+                  F.concat(F.lit("year="), day[0]), F.concat(F.lit("month="), day[1]), F.concat(F.lit("day="), day[2]), *rest))
+
+
+def layer_path(domain: Column, table: Column, interval: Column, source: Column, ds: Column, layer: Column) -> Column:
+    """Prefix of a day's layer; a blank source leaves its segment out, a day that is none gives null."""
+    return _day_path(domain, table, interval, source, ds, F.concat(F.lit("layer="), layer))
+
+
+def raw_key(domain: Column, table: Column, interval: Column, source: Column, ds: Column, symbol: Column, file_type: str = "json", gzip: bool = False) -> Column:
+    """Key of a symbol's raw file of a day."""
+    return _day_path(domain, table, interval, source, ds, F.concat(symbol, F.lit(f".{file_type.lower()}" + ".gz" * gzip)))
+
+
+def manifest_key(domain: Column, table: Column, interval: Column, source: Column, ds: Column, basename: str = "_batch", suffix: str = ".manifest.json") -> Column:
+    """Key of a day's manifest; a suffix gets its leading dot, blank names their defaults."""
+    suffix = suffix.strip() or ".manifest.json"
+    return _day_path(domain, table, interval, source, ds, F.lit((basename or "_batch") + (suffix if suffix.startswith(".") else f".{suffix}")))

@@ -5,26 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.keys import BUCKET, curated_key_error, first_of, parse_curated_key
+from tidewell.functions.keys import BUCKET, curated_key_error, first_of, is_curated_key, parse_curated_key, whole
 from tidewell.functions.scalars import PRIORITY, priority
 
 MIN_FILE_BYTES = 1024
-UUID4 = r"^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
-#: Field formats of a message.
-FIELDS = {"interval": r"^[a-z0-9_-]{1,50}$", "data_source": r"^[a-z0-9_-]{1,100}$", "year": r"^\d{4}$", "month": r"^(0[1-9]|1[0-2])$",
-          "day": r"^(0[1-9]|[12]\d|3[01])$", "layer": r"^[a-z0-9_-]{1,50}$", "ds": r"^\d{4}-\d{2}-\d{2}$"}
+#: Fields of a message that equal the key's, with their names in texts; fields that have a format, in order.
 EQUAL = (("domain", "Domain"), ("table_name", "Table name"), ("interval", "Interval"), ("layer", "Layer"), ("year", "Year"), ("month", "Month"), ("day", "Day"), ("data_source", "Data source"), ("ds", "ds"))
+FORMATTED = ("interval", "data_source", "year", "month", "day", "layer", "ds")
+#: Outcomes of an attempt by the code of its error; other codes are exceptions.
+OUTCOMES = {"PARSE_ERROR": "PARSE_ERROR", "VALIDATION_ERROR": "FAIL", "FILE_NOT_FOUND": "FAIL", "PERMISSION_ERROR": "FAIL", "SECRETS_ERROR": "FAIL",
+            "CONNECTION_ERROR": "RETRY", "TIMEOUT_ERROR": "RETRY", "MEMORY_ERROR": "RETRY"}
 
 
-def skip_reason(layers: tuple[str, ...] = (), domains: tuple[str, ...] = tuple(PRIORITY)) -> Column:
-    """Why a file event (source, detail_type, bucket, key, size) gives no message, or null; no layers means all."""
-    error = curated_key_error(F.col("key"))
+def _wanted(layers: tuple[str, ...], domains: tuple[str, ...]) -> tuple[Column, Column, Column, Column, Column]:
+    """What an event that passes fulfils: size, type, bucket, layer, domain."""
     key = parse_curated_key(F.col("key"))
-    return F.when(F.coalesce(F.col("size") < MIN_FILE_BYTES, F.lit(True)), "File size below threshold").when(
-        (F.col("source") != "aws.s3") | (F.col("detail_type") != "Object Created"), "Unsupported event type").when(
-        ~F.col("bucket").rlike(BUCKET) & error.isNull(), "Invalid S3 bucket format").when(error.isNotNull(), error).when(
-        ~key["layer"].isin(*layers) if layers else F.lit(False), F.concat(F.lit("Layer not allowed: "), key["layer"])).when(
-        ~key["domain"].isin(*domains), "Unknown domain")
+    return (F.coalesce(F.col("size") >= MIN_FILE_BYTES, F.lit(False)), (F.col("source") == "aws.s3") & (F.col("detail_type") == "Object Created"),
+            F.coalesce(F.col("bucket").rlike(BUCKET), F.lit(False)), key["layer"].isin(*layers) if layers else F.lit(True), key["domain"].isin(*domains))
+
+
+def passes(layers: tuple[str, ...] = (), domains: tuple[str, ...] = tuple(PRIORITY)) -> Column:
+    """Whether a file event (source, detail_type, bucket, key, size) gives a message; the same as a null ``skip_reason``, for less."""
+    size, kind, bucket, layer, domain = _wanted(layers, domains)
+    return size & kind & bucket & is_curated_key(F.col("key")) & layer & domain
+
+
+def skip_reason(layers: tuple[str, ...] = (), domains: tuple[str, ...] = tuple(PRIORITY)) -> Column:
+    """Why a file event gives no message, or null; no layers means all."""
+    size, kind, bucket, layer, domain = _wanted(layers, domains)
+    key = F.col("key")
+    return F.when(~size, "File size below threshold").when(~F.coalesce(kind, F.lit(False)), "Unsupported event type").when(
+        ~is_curated_key(key), curated_key_error(key)).when(~bucket, "Invalid S3 bucket format").when(
+        ~layer, F.concat(F.lit("Layer not allowed: "), parse_curated_key(key)["layer"])).when(~domain, "Unknown domain")
 
 
 def load_gate(events: DataFrame, layers: tuple[str, ...] = (), domains: tuple[str, ...] = tuple(PRIORITY)) -> DataFrame:
@@ -32,9 +44,16 @@ def load_gate(events: DataFrame, layers: tuple[str, ...] = (), domains: tuple[st
     return events.withColumn("skip_reason", skip_reason(layers, domains))
 
 
+def without_quarantine(files: DataFrame, key: str = "key") -> DataFrame:
+    """Files that a catalog may show: no quarantined layer, no temporary folder, no marker of a commit."""
+    name = F.element_at(F.split(key, "/"), -1)
+    hidden = F.contains(key, F.lit("/_temporary/")) | name.isin("_SUCCESS", "_started", "_committed") | name.rlike(r"\A_(started|committed)_")
+    return files.where(~F.contains(key, F.lit("/layer=quarantine/")) & ~hidden)
+
+
 def load_messages(events: DataFrame, layers: tuple[str, ...] = (), domains: tuple[str, ...] = tuple(PRIORITY), correlation: Column | None = None) -> DataFrame:
     """Messages of the events that pass: the fields of the key, and sink columns ``message_key, body, headers``."""
-    passed = load_gate(events, layers, domains).where("skip_reason IS NULL")
+    passed = events.where(passes(layers, domains))
     fields = parse_curated_key(F.col("key"))
     rows = passed.select("bucket", "key", *[c.alias(n) for n, c in fields.items()], F.col("size").alias("file_size"), (correlation if correlation is not None else F.expr("uuid()")).alias("correlation_id"))
     body = F.to_json(F.struct(*rows.columns))
@@ -42,21 +61,37 @@ def load_messages(events: DataFrame, layers: tuple[str, ...] = (), domains: tupl
     return rows.select("*", priority(F.col("domain")).alias("priority"), F.col("key").alias("message_key"), body.alias("body"), headers.alias("headers"))
 
 
+def message_rejects(events: DataFrame, layers: tuple[str, ...] = (), domains: tuple[str, ...] = tuple(PRIORITY)) -> DataFrame:
+    """The events that give no message, with ``skip_reason``: together with ``load_messages`` all of them."""
+    return load_gate(events, layers, domains).where("skip_reason IS NOT NULL")
+
+
+def is_uuid(text: Column) -> Column:
+    """Whether a text is a UUID in any of its forms: with or without hyphens, braces or prefixes, of any version."""
+    bare = F.replace(F.regexp_replace(F.replace(F.replace(text, F.lit("urn:"), F.lit("")), F.lit("uuid:"), F.lit("")), r"\A[{}]+|[{}]+\z", ""), F.lit("-"), F.lit(""))
+    return F.coalesce(bare.rlike(r"\A[0-9a-fA-F]{32}\z"), F.lit(False))
+
+
 def message_error() -> Column:
     """Why a load message's columns are invalid, or null. Bucket, key, equality with the key, formats, id, size and URL, in this order."""
     key = parse_curated_key(F.col("key"))
-    error = curated_key_error(F.col("key"))
-    field = lambda n: F.coalesce(~F.col(n).rlike(FIELDS[n]), F.lit(n != "data_source"))
+    field = lambda n: F.coalesce(~F.col(n).rlike(whole(n)), F.lit(n != "data_source"))
     rest = first_of(
         *((~F.col(n).eqNullSafe(key[n]), f"{label} does not match S3 key") for n, label in EQUAL),
-        *((field(n), f"Invalid {n} format") for n in FIELDS),
-        (~F.lower("correlation_id").rlike(UUID4), "correlation_id must be UUID v4"),
+        *((field(n), f"Invalid {n} format") for n in FORMATTED),
+        (~is_uuid(F.col("correlation_id")), "Invalid correlation_id"),
         (F.coalesce(F.col("file_size") <= 0, F.lit(False)), "file_size must be positive"),
         (F.coalesce(~F.startswith(F.col("presigned_url"), F.lit("https://")), F.lit(False)), "presigned_url must be https"),
     )
-    return F.when(F.coalesce(~F.col("bucket").rlike(BUCKET), F.lit(True)), "Invalid S3 bucket format").otherwise(F.coalesce(error, rest))
+    return F.when(F.coalesce(~F.col("bucket").rlike(BUCKET), F.lit(True)), "Invalid S3 bucket format").when(~is_curated_key(F.col("key")), curated_key_error(F.col("key"))).otherwise(rest)
+
+
+def outcome(error_code: Column) -> Column:
+    """Outcome of an attempt by its error code: SUCCESS for none or a blank one, EXCEPTION for one that isn't listed."""
+    known = F.create_map(*[F.lit(x) for kv in OUTCOMES.items() for x in kv])
+    return F.when(F.coalesce(F.trim(error_code), F.lit("")) == "", "SUCCESS").otherwise(F.coalesce(F.try_element_at(known, F.upper(F.trim(error_code))), F.lit("EXCEPTION")))
 
 
-def ledger(rows: DataFrame) -> DataFrame:
-    """One row per file of a loaded table: name, records and bytes, from the files' metadata."""
-    return rows.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count("*").alias("record_count"), F.max("_metadata.file_size").alias("file_size"))
+def ledger(rows: DataFrame, *also: Column) -> DataFrame:
+    """One row per file of a loaded table: name, records and bytes, from the files' metadata, and ``also`` of them."""
+    return rows.groupBy(*also, F.col("_metadata.file_path").alias("file_path")).agg(F.count("*").alias("record_count"), F.max("_metadata.file_size").alias("file_size"))

@@ -2,8 +2,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewell.functions.keys import parse_curated_key
-from tidewell.operators.load import load_gate, load_messages as messages_of, message_error
+from tidewell.functions.keys import is_curated_key, parse_curated_key
+from tidewell.operators.load import load_gate, load_messages as messages_of, message_error, without_quarantine
 from tidewell.registered.prices import KEY_SQL
 from tidewell.registered.registry import query
 from tidewell.views import view
@@ -25,21 +25,22 @@ def load_messages(spark, sf_dir):
     return out.select("bucket", "key", "domain", "table_name", "interval_value", "data_source", "year", "month", "day", "layer", "ds", "file_size", "priority")
 
 
-@query(f"{KEY_SQL} SELECT event_id, layer <> 'quarantine' AS kept FROM k WHERE error IS NULL AND layer <> 'quarantine'")
+@query(f"{KEY_SQL} SELECT event_id, TRUE AS kept FROM k WHERE error IS NULL AND layer <> 'quarantine' AND event_id % 19 <> 0")
 def exclude_quarantine(spark, sf_dir):
-    layer = parse_curated_key(F.col("key"))["layer"]
-    df = load_gate(view(spark, sf_dir, "file_events").withColumns({"size": F.lit(4096), "source": F.lit("aws.s3"), "detail_type": F.lit("Object Created"), "bucket": F.lit("curated-bucket")}))
-    return df.where(F.col("skip_reason").isNull() | (F.col("skip_reason") == "Unknown domain")).where(layer != "quarantine").select("event_id", (layer != "quarantine").alias("kept"))
+    hidden = F.when(F.col("event_id") % 38 == 0, F.regexp_replace("key", "/part-", "/_temporary/part-")).when(F.col("event_id") % 19 == 0, F.regexp_replace("key", "/part-[^/]*", "/_SUCCESS"))
+    files = view(spark, sf_dir, "file_events").where(is_curated_key(F.col("key"))).withColumn("key", F.coalesce(hidden, "key"))
+    return without_quarantine(files).select("event_id", F.lit(True).alias("kept"))
 
 
 @query(f"""{KEY_SQL} SELECT event_id, CASE WHEN bucket = 'Bad_Bucket' THEN 'Invalid S3 bucket format' WHEN error IS NOT NULL THEN error
  WHEN event_id % 43 = 0 THEN 'Domain does not match S3 key' WHEN event_id % 47 = 0 THEN 'Day does not match S3 key' WHEN data_source IS NULL THEN 'Data source does not match S3 key'
- WHEN event_id % 53 = 0 THEN 'correlation_id must be UUID v4' WHEN event_id % 59 = 0 THEN 'file_size must be positive' WHEN event_id % 61 = 0 THEN 'presigned_url must be https' END AS error FROM k""")
+ WHEN event_id % 53 = 0 THEN 'Invalid correlation_id' WHEN event_id % 59 = 0 THEN 'file_size must be positive' WHEN event_id % 61 = 0 THEN 'presigned_url must be https' END AS error FROM k""")
 def validate_load_message(spark, sf_dir):
     n = F.col("event_id")
     fields = parse_curated_key(F.col("key")) | {"data_source": F.lit("yahoo_finance")}
+    # Any well-formed UUID will do, in any of its forms.
+    uuids = F.when(n % 53 == 0, "550e8400-e29b-11d4-a716").when(n % 2 == 0, "550e8400-e29b-11d4-a716-446655440000").when(n % 3 == 0, "{550E8400e29b41d4a716446655440000}").otherwise("urn:uuid:550e8400-e29b-41d4-a716-446655440000")
     df = view(spark, sf_dir, "file_events").select("event_id", "bucket", "key", *[c.alias(k) for k, c in fields.items()]).withColumns({
-        "domain": F.when(n % 43 == 0, "other").otherwise(F.col("domain")), "day": F.when(n % 47 == 0, "x").otherwise(F.col("day")),
-        "correlation_id": F.when(n % 53 == 0, "550e8400-e29b-11d4-a716-446655440000").otherwise("550e8400-e29b-41d4-a716-446655440000"),
+        "domain": F.when(n % 43 == 0, "other").otherwise(F.col("domain")), "day": F.when(n % 47 == 0, "x").otherwise(F.col("day")), "correlation_id": uuids,
         "file_size": F.when(n % 59 == 0, 0).otherwise(5000), "presigned_url": F.when(n % 61 == 0, "http://x").when(n % 2 == 0, "https://x")})
     return df.select("event_id", message_error().alias("error"))

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewell.functions.keys import ds_of_key, fill_from_key, layer_path, manifest_ds, parse_curated_key, curated_key_error
+from tidewell.functions.keys import ds_of_key, fill_from_key, layer_path, manifest_ds, manifest_key, parse_curated_key, curated_key_error, raw_key
 from tidewell.functions.prices import adjust
 from tidewell.functions.scalars import correlation_id as first_id
 from tidewell.functions.scalars import filled, normalize_symbol as symbol_of, priority, safe_double as number, status_subject, status_text as message, utc_day as day
@@ -104,6 +104,14 @@ def build_layer_path(spark, sf_dir):
     return view(spark, sf_dir, "file_events").select("event_id", layer_path(F.lit("market"), F.lit("prices"), F.lit("1d"), source, ds, F.lit("adjusted")).alias("path"))
 
 
+@query(f"""{EVENTS}, d AS (SELECT event_id, 'market/prices/interval=1d/data_source=yahoo/year=' || substr(ds,1,4) || '/month=' || substr(ds,6,2) || '/day=' || substr(ds,9,2) || '/' AS day FROM file_events)
+ SELECT event_id, day || 'S' || CAST(event_id AS STRING) || '.csv.gz' AS raw_key, day || '_batch.done.json' AS manifest_key FROM d""")
+def build_raw_keys(spark, sf_dir):
+    place = [F.lit("market"), F.lit("prices"), F.lit("1d"), F.lit("yahoo"), F.col("ds")]
+    raw = raw_key(*place, F.concat(F.lit("S"), F.col("event_id").cast("string")), "CSV", gzip=True)
+    return view(spark, sf_dir, "file_events").select("event_id", raw.alias("raw_key"), manifest_key(*place, "", "done.json").alias("manifest_key"))
+
+
 @query("SELECT p_partkey, replace(upper(trim(concat(' ', substr(p_name, 1, 3), '.', p_brand, ' '))), '.', '-') AS symbol FROM part")
 def normalize_symbol(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", symbol_of(F.concat(F.lit(" "), F.substring("p_name", 1, 3), F.lit("."), "p_brand", F.lit(" "))).alias("symbol"))
