@@ -11,16 +11,22 @@ THRESHOLDS = {"queue_depth": (100.0, "avg"), "oldest_age": (300.0, "max"), "erro
 
 
 def normalized_errors(df: DataFrame) -> DataFrame:
-    """Errors with a source and a message; severity ERROR and type UnknownError where none is given."""
-    return df.where("source IS NOT NULL AND source <> '' AND error_message IS NOT NULL AND error_message <> ''").withColumns(
-        {"severity": F.coalesce("severity", F.lit("ERROR")), "error_type": F.coalesce("error_type", F.lit("UnknownError"))})
+    """Errors with a source and a message; severity ERROR, type UnknownError and an empty ``context``, if there is one, where none is given."""
+    given = {"severity": F.coalesce("severity", F.lit("ERROR")), "error_type": F.coalesce("error_type", F.lit("UnknownError"))}
+    if "context" in df.columns:
+        given["context"] = F.coalesce("context", F.create_map().cast("map<string,string>"))
+    return df.where("source IS NOT NULL AND source <> '' AND error_message IS NOT NULL AND error_message <> ''").withColumns(given)
 
 
 def error_counts(df: DataFrame) -> DataFrame:
-    """``metric, source, error_type, severity, domain, n``: the total and the severity's own counter, from one aggregate."""
-    counts = normalized_errors(df).groupBy("source", "error_type", "severity", "domain").agg(F.count("*").alias("n"))
+    """``metric, source, error_type, severity, domain, n``: the total and the severity's own counter, from one aggregate.
+
+    ``environment`` and ``table_name`` are dimensions too where ``df`` has them.
+    """
+    by = ["source", "error_type", "severity", "domain"] + [c for c in ("environment", "table_name") if c in df.columns]
+    counts = normalized_errors(df).groupBy(*by).agg(F.count("*").alias("n"))
     names = F.explode(F.array(F.lit("ErrorCount"), F.concat("severity", F.lit("Count"))))
-    return counts.select(names.alias("metric"), "source", "error_type", "severity", "domain", "n")
+    return counts.select(names.alias("metric"), *by, "n")
 
 
 def windowed(df: DataFrame, minutes: int = 5) -> DataFrame:

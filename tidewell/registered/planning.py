@@ -2,31 +2,31 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewell.operators.batches import chunk, completed, first_source, manifests, merge_chunks as merged, progress
+from tidewell.operators.batches import any_true, chunk, completed, counts_by, days_of, manifest_entries, manifests, merge_chunks as merged, merged_objects, only_done, progress, reconcile as reconciled
 from tidewell.operators.metrics import m_of_n
 from tidewell.operators.schema_versions import diff, previous_hash, refresh_needed
 from tidewell.plans.backfill import backfill_days, idempotent, job_arguments, normalized_request, preflight_code
 from tidewell.registered.prices import CHANGES, EVENTS, PRICES
 from tidewell.registered.registry import query
-from tidewell.session import table
-from tidewell.sources.readers import parse_symbols
+from tidewell.session import fresh_path, table
+from tidewell.sources.readers import file_type_allowed, first_symbols, listed_symbols, parse_symbols, read_listing, split_symbols, universe
 from tidewell.functions.scalars import normalize_symbol
 from tidewell.views import view, view_sql
 
-#: Date ranges from orders, some reversed and some long.
-_RANGES = "SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) + CAST(o_custkey % 41 - 20 AS INT) AS b FROM orders WHERE o_orderkey % 10 = 0"
-_RANGE_COLUMNS = ["o_orderkey AS id", "CAST(o_orderdate AS DATE) AS a", "date_add(CAST(o_orderdate AS DATE), CAST(o_custkey % 41 - 20 AS INT)) AS b"]
+#: Date ranges from all orders: about half are reversed, and those of over 31 days are clamped.
+_RANGES = "SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) + CAST(o_custkey % 101 - 50 AS INT) AS b FROM orders"
+_RANGE_COLUMNS = ["o_orderkey AS id", "CAST(o_orderdate AS DATE) AS a", "date_add(CAST(o_orderdate AS DATE), CAST(o_custkey % 101 - 50 AS INT)) AS b"]
 DAYS = f"WITH r AS ({_RANGES}), x AS (SELECT id, CAST(CAST(unnest(generate_series(least(a, b), least(greatest(a, b), least(a, b) + 30), INTERVAL 1 DAY)) AS DATE) AS STRING) AS ds FROM r)"
-_DONE = "SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) AS STRING) AS ds FROM orders WHERE o_custkey % 3 = 0"
+_DONE = "SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) AS STRING) AS ds FROM orders WHERE o_orderpriority = '1-URGENT'"
 
 
 def _days(spark, sf_dir):
-    ranges = table(spark, sf_dir, "orders").where("o_orderkey % 10 = 0").selectExpr(*_RANGE_COLUMNS)
+    ranges = table(spark, sf_dir, "orders").selectExpr(*_RANGE_COLUMNS)
     return backfill_days(ranges, "a", "b").select("id", "ds")
 
 
 def _done(spark, sf_dir):
-    return table(spark, sf_dir, "orders").where("o_custkey % 3 = 0").selectExpr("CAST(CAST(o_orderdate AS DATE) AS STRING) AS ds").distinct()
+    return table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").selectExpr("CAST(CAST(o_orderdate AS DATE) AS STRING) AS ds").distinct()
 
 
 @query(f"{DAYS} SELECT id, ds FROM x")
@@ -92,14 +92,14 @@ def suffix_filter(spark, sf_dir):
 @query("SELECT event_id, lower(CASE event_id % 4 WHEN 0 THEN 'JSON' WHEN 1 THEN 'csv' WHEN 2 THEN 'Parquet' ELSE 'avro' END) AS file_type, event_id % 4 <> 3 AS allowed FROM events")
 def file_type_check(spark, sf_dir):
     kind = F.lower(F.expr("CASE event_id % 4 WHEN 0 THEN 'JSON' WHEN 1 THEN 'csv' WHEN 2 THEN 'Parquet' ELSE 'avro' END"))
-    return table(spark, sf_dir, "events").select("event_id", kind.alias("file_type"), kind.isin("json", "csv", "parquet").alias("allowed"))
+    return table(spark, sf_dir, "events").select("event_id", kind.alias("file_type"), file_type_allowed(kind).alias("allowed"))
 
 
 @query("SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_brand END AS symbol, p_partkey % 5 <> 0 AS valid FROM part")
 def symbol_split(spark, sf_dir):
     raw = F.when(F.col("p_partkey") % 10 == 0, "  ").when(F.col("p_partkey") % 5 != 0, F.concat(F.lit(" "), "p_brand"))
-    clean = F.nullif(F.trim(raw), F.lit(""))
-    return table(spark, sf_dir, "part").select("p_partkey", clean.alias("symbol"), clean.isNotNull().alias("valid"))
+    good, bad = split_symbols(table(spark, sf_dir, "part").select("p_partkey", raw.alias("symbol")), "symbol")
+    return good.withColumn("valid", F.lit(True)).unionByName(bad.select("p_partkey", F.lit(None).cast("string").alias("symbol"), F.lit(False).alias("valid")))
 
 
 @query("WITH s AS (SELECT p_partkey, p_brand || CAST(p_partkey AS STRING) AS symbol, row_number() OVER (ORDER BY p_partkey) - 1 AS r FROM part) SELECT r // 50 AS chunk_no, string_agg(symbol, ',' ORDER BY r) AS members, CAST(ceil((SELECT count(*) FROM s) / 50.0E0) AS BIGINT) AS total_chunks FROM s GROUP BY 1")
@@ -114,14 +114,26 @@ _UNIVERSE = "SELECT upper(trim(p_brand)) AS s FROM part UNION SELECT upper(trim(
 @query(f"SELECT DISTINCT s AS symbol FROM ({_UNIVERSE}) WHERE s <> ''")
 def universe_union(spark, sf_dir):
     lists = [table(spark, sf_dir, t).select(normalize_symbol(F.col(c)).alias("symbol")) for t, c in (("part", "p_brand"), ("supplier", "s_name"), ("customer", "c_mktsegment"))]
-    return lists[0].union(lists[1]).union(lists[2]).where("symbol <> ''").distinct()
+    return universe(*lists)
 
 
-@query("SELECT upper(trim(p_brand)) || '-' || CAST(p_partkey AS STRING) AS symbol FROM part WHERE p_partkey % 4 <> 0 AND p_partkey % 9 <> 0")
-def universe_exchange(spark, sf_dir):
-    """Listing rows with a test flag and a trailer row: only real, named issues of the exchange stay."""
-    rows = table(spark, sf_dir, "part").selectExpr("CASE WHEN p_partkey % 9 = 0 THEN 'File Creation Time: 0101' ELSE concat(p_brand, '.', CAST(p_partkey AS STRING)) END AS symbol", "CASE WHEN p_partkey % 4 = 0 THEN 'Y' ELSE 'N' END AS test_issue")
-    return rows.where("test_issue = 'N' AND symbol IS NOT NULL AND NOT startswith(symbol, 'File Creation Time')").select(normalize_symbol(F.col("symbol")).alias("symbol"))
+_LISTED = ["CASE WHEN p_partkey % 9 = 0 THEN 'File Creation Time: 0101' WHEN p_partkey % 13 = 0 THEN NULL ELSE concat(p_brand, '.', CAST(p_partkey AS STRING)) END AS symbol",
+           "p_name AS name", "CASE WHEN p_partkey % 4 = 0 THEN 'Y' ELSE 'N' END AS test_issue", "CASE WHEN p_size % 2 = 0 THEN 'N' ELSE 'A' END AS exchange"]
+
+
+def _listing(sep):
+    def run(spark, sf_dir):
+        """A landed listing with a header, test issues, other exchanges' issues and trailer rows: the real issues of the exchange."""
+        path = fresh_path(spark)
+        table(spark, sf_dir, "part").selectExpr(*_LISTED).write.option("header", True).option("sep", sep).csv(path)
+        return listed_symbols(read_listing(spark, path, sep), "symbol", "test_issue", ("exchange", "N") if sep == "|" else None)
+
+    return run
+
+
+_ISSUES = "SELECT upper(trim(p_brand)) || '-' || CAST(p_partkey AS STRING) AS symbol FROM part WHERE p_partkey % 4 <> 0 AND p_partkey % 9 <> 0 AND p_partkey % 13 <> 0"
+query(_ISSUES, name="universe_listing_csv")(_listing(","))
+query(f"{_ISSUES} AND p_size % 2 = 0", name="universe_exchange")(_listing("|"))
 
 
 @query("SELECT o_orderkey, trim(unnest(['A' || o_custkey, 'B-' || o_orderkey])) AS symbol FROM orders")
@@ -130,12 +142,19 @@ def symbol_universe_parse(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", F.explode(parse_symbols(text)).alias("symbol"))
 
 
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'P1,P2' WHEN o_orderkey % 3 = 1 THEN 'C' || o_custkey ELSE 'AAPL' END AS symbols FROM orders")
+def symbol_source_precedence(spark, sf_dir):
+    """The first source that has symbols: a stored parameter, an object, the event, or the default."""
+    texts = ["CASE WHEN o_orderkey % 3 = 0 THEN '[\"P1\", \" P2 \"]' WHEN o_orderkey % 3 = 1 THEN ' \n ' END", "CASE WHEN o_orderkey % 3 = 1 THEN concat('C', o_custkey, '\n') WHEN o_orderkey % 3 = 2 THEN '[]' END", "CAST(NULL AS STRING)"]
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(first_symbols(*map(F.expr, texts)), ",").alias("symbols"))
+
+
 CHUNKS = view_sql("chunks")
 
 
 @query(f"{CHUNKS} SELECT symbol, ds, count(*) AS n FROM chunks GROUP BY ALL")
 def land_raw_counts(spark, sf_dir):
-    return view(spark, sf_dir, "chunks").groupBy("symbol", "ds").agg(F.count("*").alias("n"))
+    return counts_by(view(spark, sf_dir, "chunks"), "symbol", "ds")
 
 
 @query(f"{CHUNKS}, o AS (SELECT ds, symbol, sum(records)::BIGINT AS records FROM chunks GROUP BY ALL) SELECT ds, count(*) AS objects_n, sum(records)::BIGINT AS records, string_agg(symbol || ':' || records, ',' ORDER BY symbol) AS objects FROM o GROUP BY ds")
@@ -151,6 +170,14 @@ def merge_chunks(spark, sf_dir):
     return merged(s)
 
 
+@query(f"""{CHUNKS}, p AS (SELECT ds, 'raw/' || min(batch_id) AS raw_prefix FROM chunks GROUP BY ds)
+ SELECT ds, raw_prefix, batch_id, symbol, records FROM chunks JOIN p USING (ds)""")
+def merge_chunk_objects(spark, sf_dir):
+    objects = F.collect_list(F.struct("symbol", "records")).alias("objects")
+    s = view(spark, sf_dir, "chunks").groupBy("ds", F.col("batch_id").alias("seq"), F.concat(F.lit("raw/"), F.col("batch_id").cast("string")).alias("raw_prefix")).agg(objects)
+    return merged_objects(s).select("ds", "raw_prefix", F.col("place.seq").alias("batch_id"), "object.symbol", "object.records")
+
+
 _EXPECTED = "SELECT o_orderkey AS batch_id, CAST(o_custkey % 6 + 1 AS BIGINT) AS expected_chunks FROM orders"
 
 
@@ -167,12 +194,12 @@ def completed_transitions(spark, sf_dir):
 
 @query("SELECT user_id AS batch_id, bool_or(event_type = 'error') AS refresh FROM events GROUP BY 1")
 def catalog_refresh_needed(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("batch_id")).agg(F.bool_or(F.col("event_type") == "error").alias("refresh"))
+    return any_true(table(spark, sf_dir, "events").withColumnRenamed("user_id", "batch_id"), "batch_id", F.col("event_type") == "error")
 
 
 @query(f"{PRICES} SELECT DISTINCT ds FROM prices")
 def processed_dates(spark, sf_dir):
-    return view(spark, sf_dir, "prices").select("ds").distinct().orderBy("ds")
+    return days_of(view(spark, sf_dir, "prices"))
 
 
 _VERSIONS = ["p_brand AS table_name", "p_partkey AS version", "concat(p_type, CAST(p_size % 2 AS STRING)) AS hash"]
@@ -208,23 +235,31 @@ def write_once_new(spark, sf_dir):
 
 @query(f"{PRICES}, d AS ({_DONE}) SELECT ds, count(*) AS n FROM prices WHERE ds IN (SELECT ds FROM d) GROUP BY ds")
 def compaction_guard(spark, sf_dir):
-    return view(spark, sf_dir, "prices").join(_done(spark, sf_dir), "ds", "left_semi").groupBy("ds").agg(F.count("*").alias("n"))
+    return counts_by(only_done(view(spark, sf_dir, "prices"), _done(spark, sf_dir)), "ds")
 
 
-_CANDIDATES = ["CAST(CAST(o_orderdate AS DATE) AS STRING) AS ds", "CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 ELSE 3 END AS source_rank", "concat('m/', CAST(o_orderkey AS STRING)) AS manifest_key"]
+#: What trackers and chunk summaries of a customer's orders say of their days: five places, blank keys, trackers with nothing usable.
+_FOUND = ["o_custkey AS batch_id", "o_orderkey AS seq", "CAST(CAST(o_orderdate AS DATE) AS STRING) AS ds",
+          "CASE WHEN o_custkey % 4 = 0 THEN 'chunk_summary' ELSE CASE o_orderpriority WHEN '1-URGENT' THEN 'manifest_keys' WHEN '2-HIGH' THEN 'finalizing' WHEN '3-MEDIUM' THEN 'combined' WHEN '5-LOW' THEN 'chunk_summary' ELSE 'payload' END END AS place",
+          "CASE WHEN o_orderkey % 3 = 0 THEN ' ' ELSE concat('m/year=', substr(CAST(CAST(o_orderdate AS DATE) AS STRING), 1, 4), '/month=', substr(CAST(CAST(o_orderdate AS DATE) AS STRING), 6, 2), '/day=', substr(CAST(CAST(o_orderdate AS DATE) AS STRING), 9, 2), '/', CAST(o_orderkey AS STRING), '.json') END AS manifest_key"]
 
 
-@query(f"WITH c AS (SELECT {', '.join(_CANDIDATES)} FROM orders) SELECT ds, min(source_rank) AS source_rank, arg_min(manifest_key, (source_rank, manifest_key)) AS manifest_key FROM c GROUP BY ds")
+@query(f"""WITH f AS (SELECT {', '.join(_FOUND)} FROM orders), g AS (SELECT *, nullif(trim(manifest_key), '') AS given,
+  CASE place WHEN 'manifest_keys' THEN 1 WHEN 'finalizing' THEN 2 WHEN 'combined' THEN 3 WHEN 'payload' THEN 4 ELSE 5 END AS r FROM f),
+ k AS (SELECT *, coalesce(given, 'market/prices/interval=1d/data_source=yahoo_finance/year=' || substr(ds,1,4) || '/month=' || substr(ds,6,2) || '/day=' || substr(ds,9,2) || '/_batch.manifest.json') AS key
+  FROM g WHERE r > 1 OR given IS NOT NULL),
+ u AS (SELECT * FROM k WHERE r < 5 OR batch_id NOT IN (SELECT batch_id FROM k WHERE r < 5)),
+ n AS (SELECT *, row_number() OVER (PARTITION BY batch_id, ds ORDER BY r, seq) AS n FROM u)
+ SELECT batch_id, ds, key AS manifest_key, CASE WHEN r = 5 THEN 'chunk_summary' WHEN given IS NULL THEN 'computed' ELSE 'dynamodb' END AS source FROM n WHERE n = 1""")
 def manifest_precedence(spark, sf_dir):
-    return first_source(table(spark, sf_dir, "orders").selectExpr(*_CANDIDATES)).orderBy("ds")
+    found = table(spark, sf_dir, "orders").selectExpr(*_FOUND)
+    return manifest_entries(found, F.lit("market"), F.lit("prices"), F.lit("1d"), F.lit("yahoo_finance"))
 
 
 @query(f"{CHUNKS}, a AS (SELECT ds, symbol, count(*) AS landed FROM chunks WHERE batch_id % 9 <> 0 GROUP BY ALL), b AS (SELECT ds, symbol, count(*) AS curated FROM chunks WHERE chunk_id <> 3 GROUP BY ALL) SELECT ds, symbol, landed, curated, coalesce(landed, 0) = coalesce(curated, 0) AS same FROM a FULL JOIN b USING (ds, symbol)")
 def reconcile(spark, sf_dir):
     chunks = view(spark, sf_dir, "chunks")
-    count = lambda cond, name: chunks.where(cond).groupBy("ds", "symbol").agg(F.count("*").alias(name))
-    both = count("batch_id % 9 <> 0", "landed").join(count("chunk_id <> 3", "curated"), ["ds", "symbol"], "full_outer")
-    return both.withColumn("same", F.coalesce("landed", F.lit(0)) == F.coalesce("curated", F.lit(0)))
+    return reconciled(chunks.where("batch_id % 9 <> 0"), chunks.where("chunk_id <> 3"), ("ds", "symbol"), ("landed", "curated"))
 
 
 ALARMS = """WITH w AS (SELECT event_type AS series, CAST(floor(epoch(ts) / 21600) * 21600 AS BIGINT) AS window_start, count(*) AS value FROM events GROUP BY ALL),

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewell.operators.quality import Gate, bad_row, day_verdicts, duplicate_groups, gate_rows, metrics, row_contract as contract, rule_report as report, rules_for
+from tidewell.operators.quality import Gate, bad_row, day_verdicts, duplicate_groups, gate_rows, metrics, row_contract as contract, rule_report as report, rules_for, validation_report as validated
 from tidewell.registered.prices import PRICES
 from tidewell.registered.registry import query
 from tidewell.views import view
@@ -54,18 +54,31 @@ def quarantine_rows(spark, sf_dir):
     return gate_rows(view(spark, sf_dir, "prices"), GATE)[1]
 
 
-@query(f"""{PRICES} SELECT * FROM (VALUES ('required', 'symbol', 0), ('required', 'ds', 0), ('required', 'close', 0), ('dtype', 'close', 0), ('dtype', 'volume', 0)) t(rule, target, violations)
- UNION ALL SELECT 'non_null', 'symbol', count(*) FILTER (WHERE symbol IS NULL) FROM prices UNION ALL SELECT 'non_null', 'ds', count(*) FILTER (WHERE ds IS NULL) FROM prices
- UNION ALL SELECT 'range', 'close', count(*) FILTER (WHERE close < 0) FROM prices UNION ALL SELECT 'range', 'adjusted_close', count(*) FILTER (WHERE adjusted_close < 0) FROM prices
- UNION ALL SELECT 'range', 'volume', count(*) FILTER (WHERE volume < 0) FROM prices""")
+@query(f"""{PRICES} SELECT * FROM (VALUES ('required', 'symbol', 0), ('required', 'date', 0), ('required', 'close', 0), ('dtype', 'symbol', 0), ('dtype', 'date', 0), ('dtype', 'close', 0)) t(rule, target, violations)
+ UNION ALL SELECT 'non_null', 'symbol', count(*) FILTER (WHERE symbol IS NULL) FROM prices UNION ALL SELECT 'non_null', 'date', count(*) FILTER (WHERE ds IS NULL) FROM prices
+ UNION ALL SELECT 'non_null', 'close', count(*) FILTER (WHERE close IS NULL) FROM prices
+ UNION ALL SELECT 'duplicates', 'symbol,date', count(*) FROM (SELECT symbol, ds FROM prices GROUP BY ALL HAVING count(*) > 1)""")
 def rule_report(spark, sf_dir):
-    return report(view(spark, sf_dir, "prices"), rules_for("MARKET", "Prices"))
+    return report(view(spark, sf_dir, "prices").withColumn("date", F.to_date("ds")), rules_for("MARKET", "Prices"))
+
+
+_RANGED = {"required_columns": ["symbol", "spread"], "dtypes": {"volume": "bigint", "close": "date"}, "ranges": {"close": (0.0, None), "adjusted_close": (0.0, None), "volume": (1, 40), "spread": (0, 1)}}
+
+
+@query(f"""{PRICES} SELECT * FROM (VALUES ('required', 'symbol', 0), ('required', 'spread', 1), ('dtype', 'volume', 0), ('dtype', 'close', 1)) t(rule, target, violations)
+ UNION ALL SELECT 'range', 'close', count(*) FILTER (WHERE close < 0) FROM prices UNION ALL SELECT 'range', 'adjusted_close', count(*) FILTER (WHERE adjusted_close < 0) FROM prices
+ UNION ALL SELECT 'range', 'volume', count(*) FILTER (WHERE volume < 1 OR volume > 40) FROM prices""")
+def rule_ranges(spark, sf_dir):
+    """Rules of a table's own: ranges, a column that isn't there, a type that differs."""
+    return report(view(spark, sf_dir, "prices"), _RANGED)
 
 
-@query(f"""{PRICES} SELECT symbol, ds, concat_ws(',', CASE WHEN symbol IS NULL THEN 'symbol' END, CASE WHEN close < 0 THEN 'close' END, CASE WHEN adjusted_close < 0 THEN 'adjusted_close' END,
+@query(f"""{PRICES} SELECT symbol, ds, concat_ws(',', CASE WHEN symbol IS NULL THEN 'symbol' END, CASE WHEN volume > 45 THEN 'timestamp' END, CASE WHEN close < 0 THEN 'close' END, CASE WHEN adjusted_close < 0 THEN 'adjusted_close' END,
  CASE WHEN open < 0 THEN 'open' END) AS contract_errors FROM prices""")
 def row_contract(spark, sf_dir):
-    df = contract(view(spark, sf_dir, "prices").withColumn("timestamp", F.concat("ds", F.lit("T00:00:00Z"))))
+    # A day alone, a text and a time of another zone are no ISO time in UTC.
+    wrong = F.when(F.col("volume") == 46, F.col("ds")).when(F.col("volume") == 47, "noon").when(F.col("volume") > 47, F.concat("ds", F.lit("T00:00:00+02:00")))
+    df = contract(view(spark, sf_dir, "prices").withColumn("timestamp", F.coalesce(wrong, F.concat("ds", F.lit("T00:00:00Z")))))
     return df.select("symbol", "ds", F.array_join("contract_errors", ",").alias("contract_errors"))
 
 
@@ -74,5 +87,4 @@ def row_contract(spark, sf_dir):
 def validation_report(spark, sf_dir):
     """Named checks of one aggregate, each with the overall result."""
     checks = {"symbol": F.count_if(F.col("symbol").isNull()) == 0, "price": F.count_if(F.col("close") < 0) == 0, "rows": F.count("*") >= 1}
-    one = view(spark, sf_dir, "prices").agg(F.array(*[F.struct(F.lit(n).alias("name"), c.alias("passed")) for n, c in checks.items()]).alias("checks"))
-    return one.select(F.inline("checks"), F.forall("checks", lambda c: c["passed"]).alias("overall"))
+    return validated(view(spark, sf_dir, "prices"), checks)

@@ -11,8 +11,8 @@ from tidewell.registered.registry import query
 from tidewell.functions.prices import adjust
 from tidewell.operators.quality import gate_rows
 from tidewell.session import fresh_path, table
-from tidewell.sources.readers import RAW_PRICE, manifest_objects as objects_of, read_day, read_raw, wide_to_long as unpivoted
-from tidewell.sources.writers import compact, write_layer, write_manifests
+from tidewell.sources.readers import RAW_PRICE, manifest_objects as objects_of, read_day, read_layers, read_raw, wide_to_long as unpivoted
+from tidewell.sources.writers import compact, run_report as report_of, write_layer, write_manifests
 from tidewell.views import view
 
 _COLUMNS = "symbol, ds, open, high, low, close, adjusted_close, volume"
@@ -50,17 +50,14 @@ def _monthly(df):
 def curated_roundtrip(spark, sf_dir):
     path = fresh_path(spark)
     write_layer(_monthly(adjust(gate_rows(view(spark, sf_dir, "prices"), GATE)[0])), path, "adjusted")
-    back = spark.read.parquet(path)
-    return back.select("symbol", F.col("day_of").alias("ds"), "open", "high", "low", "close", "volume", F.lpad(F.col("month").cast("string"), 2, "0").alias("month"), "layer")
+    return read_layers(spark, path).select("symbol", F.col("day_of").alias("ds"), "open", "high", "low", "close", "volume", "month", "layer")
 
 
 @query(f"{PRICES} SELECT symbol, ds, close FROM prices WHERE ds >= '1995-06-01' AND ds < '1995-07-01'")
 def partition_pruned_scan(spark, sf_dir):
     path = fresh_path(spark)
-    out = _monthly(view(spark, sf_dir, "prices")).withColumns({"ym": F.substring("ds", 1, 7)})
-    parts = F.split("ds", "-")
-    out.withColumns({"year": parts[0], "month": F.concat(F.lit("m"), parts[1]), "day": F.concat(F.lit("d"), parts[2])}).hint("rebalance", "ym").write.partitionBy("year", "month", "day").parquet(path)
-    return read_day(spark, path, "1995-m06-d01").select("symbol", F.col("day_of").alias("ds"), "close")
+    write_layer(_monthly(view(spark, sf_dir, "prices")), path, "adjusted")
+    return read_day(spark, path, "1995-06-01", layer="adjusted").select("symbol", F.col("day_of").alias("ds"), "close")
 
 
 MANIFESTS = f"{PRICES}, o AS (SELECT ds, symbol, count(*) AS records FROM prices WHERE symbol IS NOT NULL GROUP BY ALL) SELECT ds, symbol, records FROM o"
@@ -95,3 +92,11 @@ def pipeline_summary(spark, sf_dir):
     layer = F.when(F.col("action") == "quarantine", "quarantine").otherwise("adjusted")
     return day_verdicts(view(spark, sf_dir, "prices"), GATE).groupBy(layer.alias("layer")).agg(
         F.count("*").alias("days"), F.sum("record_count").alias("records"), F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds"))
+
+
+@query(f"""{METRICS}, r AS (SELECT p.ds, rate > {GATE.max_critical_rate} AS bad FROM prices p JOIN v USING (ds))
+ SELECT l.layer, count(r.ds) AS records, count(DISTINCT r.ds) AS days, min(r.ds) AS first_ds, max(r.ds) AS last_ds
+ FROM (VALUES ('adjusted', FALSE), ('quarantine', TRUE)) l(layer, bad) LEFT JOIN r ON r.bad = l.bad GROUP BY 1""")
+def run_report(spark, sf_dir):
+    good, bad = gate_rows(view(spark, sf_dir, "prices"), GATE)
+    return report_of({"adjusted": good, "quarantine": bad})

@@ -3,13 +3,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewell.operators.batches import completed
-from tidewell.operators.load import load_messages
-from tidewell.operators.metrics import dead_letters, windowed
+from tidewell.operators.load import load_messages, message_rejects
+from tidewell.operators.metrics import dead_letters, metric_alarms, windowed
 from tidewell.registered.load import GATED, LAYERS
 from tidewell.registered.prices import CHANGES
 from tidewell.registered.registry import query
 from tidewell.session import table
-from tidewell.streaming.streams import batch_progress, drain, drain_complete, first_starts, intake, table_stream
+from tidewell.streaming.streams import attempts_by_message, batch_progress, completions, drain, drain_complete, first_starts, intake, table_stream
 from tidewell.views import VIEWS, view, view_sql
 
 
@@ -81,3 +81,47 @@ def alarm_windows(spark, sf_dir):
 @query(ALARMS)
 def stream_alarms(spark, sf_dir):
     return drain_complete(_alarms(_view_stream(spark, sf_dir, "errors").withWatermark("ts", "10 minutes")))
+
+
+@query("WITH c AS (SELECT l_orderkey, count(DISTINCT l_linenumber) AS n FROM lineitem GROUP BY 1) SELECT o_orderkey AS batch_id, CAST(o_custkey % 6 + 1 AS BIGINT) AS expected_chunks FROM orders JOIN c ON l_orderkey = o_orderkey WHERE n >= o_custkey % 6 + 1")
+def stream_batch_completed(spark, sf_dir):
+    """Batches whose distinct chunks reach the expected number, each once."""
+    expected = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS batch_id", "CAST(o_custkey % 6 + 1 AS BIGINT) AS expected_chunks")
+    chunks = table_stream(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS batch_id", "l_linenumber AS chunk_id", "l_shipdate AS ts")
+    return drain(completions(chunks.join(expected, "batch_id")))
+
+
+@query(f"{GATED} SELECT event_id, skip_reason FROM q WHERE skip_reason IS NOT NULL")
+def stream_load_rejects(spark, sf_dir):
+    return drain(message_rejects(_view_stream(spark, sf_dir, "file_events"), LAYERS).select("event_id", "skip_reason"))
+
+
+_METRICS = ["CAST(ts AS TIMESTAMP) AS ts", "CASE event_type WHEN 'error' THEN 'errors' WHEN 'click' THEN 'queue_depth' WHEN 'view' THEN 'oldest_age' WHEN 'signup' THEN 'throttles' ELSE 'job_failures' END AS metric",
+            "CASE event_type WHEN 'view' THEN value * 3.0E0 WHEN 'click' THEN value ELSE CAST(event_id % 2 AS DOUBLE) END AS value"]
+METRICS = f"""WITH m AS (SELECT {', '.join(_METRICS)} FROM events), w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, metric, avg(value) AS a, max(value) AS m, sum(value) AS s FROM m GROUP BY 1, 2),
+ t AS (SELECT *, CASE metric WHEN 'queue_depth' THEN a WHEN 'oldest_age' THEN m ELSE s END AS value, CASE metric WHEN 'queue_depth' THEN 100.0E0 WHEN 'oldest_age' THEN 300.0E0 ELSE 1.0E0 END AS threshold FROM w)
+ SELECT window_start, metric, threshold, coalesce(value >= threshold, FALSE) AS alarm FROM t"""
+
+
+def _shown(df):
+    return metric_alarms(df).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "metric", "threshold", "alarm")
+
+
+@query(METRICS)
+def metric_alarm_windows(spark, sf_dir):
+    """All five alarms, each by its own statistic and threshold."""
+    return _shown(table(spark, sf_dir, "events").selectExpr(*_METRICS))
+
+
+@query(METRICS)
+def stream_metric_alarms(spark, sf_dir):
+    return drain_complete(_shown(table_stream(spark, sf_dir, "events").selectExpr(*_METRICS).withWatermark("ts", "10 minutes")))
+
+
+_ATTEMPTS = ["user_id AS message_id", "event_id AS seq", "ts", "CASE event_type WHEN 'purchase' THEN ' ' WHEN 'error' THEN 'VALIDATION_ERROR' WHEN 'click' THEN 'timeout_error' WHEN 'view' THEN 'PARSE_ERROR' ELSE 'UNHEARD_OF' END AS error_code"]
+
+
+@query("""WITH a AS (SELECT user_id AS message_id, count(*) AS attempts, arg_max(CASE event_type WHEN 'purchase' THEN 'SUCCESS' WHEN 'error' THEN 'FAIL' WHEN 'click' THEN 'RETRY' WHEN 'view' THEN 'PARSE_ERROR' ELSE 'EXCEPTION' END, event_id) AS last_outcome FROM events GROUP BY 1)
+ SELECT *, CASE WHEN last_outcome = 'SUCCESS' THEN 'DONE' WHEN attempts > 3 THEN 'DLQ' ELSE 'RETRY' END AS disposition FROM a""")
+def stream_dead_letter(spark, sf_dir):
+    return drain_complete(attempts_by_message(table_stream(spark, sf_dir, "events").selectExpr(*_ATTEMPTS), 3))

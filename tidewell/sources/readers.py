@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewell.functions.scalars import normalize_symbol
+
 RAW_PRICE = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("ds", T.StringType())]
                          + [T.StructField(c, T.DoubleType()) for c in ("open", "high", "low", "close", "adjusted_close")] + [T.StructField("volume", T.LongType())])
 MANIFEST = T.StructType([T.StructField("ds", T.StringType()), T.StructField("objects_n", T.LongType()), T.StructField("records", T.LongType()), T.StructField("objects", T.ArrayType(T.StructType([
@@ -16,7 +20,7 @@ MANIFEST = T.StructType([T.StructField("ds", T.StringType()), T.StructField("obj
 def read_raw(spark: SparkSession, path: str, file_type: str, schema: T.StructType = RAW_PRICE, unknown: str = "raise") -> DataFrame:
     """JSON lines, CSV with a header, or Parquet, in any case; an unknown type raises or is taken for Parquet."""
     kind = file_type.lower()
-    if kind not in ("json", "csv", "parquet"):
+    if kind not in FILE_TYPES:
         if unknown == "raise":
             raise ValueError(f"unsupported file type: {file_type}")
         kind = "parquet"
@@ -24,16 +28,36 @@ def read_raw(spark: SparkSession, path: str, file_type: str, schema: T.StructTyp
     return reader.option("header", True).csv(path) if kind == "csv" else getattr(reader, kind)(path)
 
 
-def read_day(spark: SparkSession, root: str, ds: str, **layer) -> DataFrame:
-    """One day of a partitioned table, by partition filters that prune the listing."""
-    year, month, day = ds.split("-")
-    wanted = {"year": year, "month": month, "day": day} | layer
-    df = spark.read.parquet(root)
+def read_layers(spark: SparkSession, root: str, partitions: tuple[str, ...] = ("year", "month", "day", "layer")) -> DataFrame:
+    """A partitioned table whose partition values stay text, so that month=06 is "06" whatever the session infers."""
+    found = spark.read.parquet(root).schema
+    kinds = [T.StructField(f.name, T.StringType() if f.name in partitions else f.dataType) for f in found.fields]
+    return spark.read.schema(T.StructType(kinds)).parquet(root)
+
+
+def read_day(spark: SparkSession, root: str, ds: str, **layer: str) -> DataFrame:
+    """One day of a partitioned table, by partition filters that prune the listing; a day that is none raises."""
+    parts = ds.split("-")
+    if [len(x) for x in parts] != [4, 2, 2] or not "".join(parts).isdigit():
+        raise ValueError(f"invalid ds: {ds}")
+    wanted = dict(zip(("year", "month", "day"), parts)) | layer
+    df = read_layers(spark, root, tuple(wanted))
     for name, value in wanted.items():
-        df = df.where(F.col(name).cast("string") == value)
+        df = df.where(F.col(name) == value)
     return df
 
 
+def raw_location(prefix: str, ds: str) -> str:
+    """A raw prefix with its day's segments, unless it has all of them already; a day that is none raises."""
+    parts = ds.split("-")
+    if [len(x) for x in parts] != [4, 2, 2] or not "".join(parts).isdigit():
+        raise ValueError(f"invalid ds: {ds}")
+    prefix = prefix.rstrip("/")
+    if all(f"{n}=" in prefix for n in ("year", "month", "day")):
+        return prefix
+    return f"{prefix}/year={parts[0]}/month={parts[1]}/day={parts[2]}"
+
+
 def read_compacted_first(spark: SparkSession, compacted: str, raw: str, file_type: str) -> DataFrame:
     """The compacted layer; where its path is missing, the raw one."""
     try:
@@ -60,6 +84,57 @@ def parse_symbols(text: Column) -> Column:
     return F.filter(F.transform(listed, lambda s: F.trim(s)), lambda s: s.isNotNull() & (s != ""))
 
 
+#: The symbols of a universe that no source names.
+DEFAULT_SYMBOLS = ("AAPL",)
+
+
+def first_symbols(*texts: Column) -> Column:
+    """Symbols of the first text, in the order of precedence, that has any; else the default."""
+    parsed = [F.when(F.size(parse_symbols(t)) > 0, parse_symbols(t)) for t in texts]
+    return F.coalesce(*parsed, F.array(*[F.lit(s) for s in DEFAULT_SYMBOLS]))
+
+
+def read_listing(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """An exchange's listing as landed: text with a header, all columns as text; ``|`` separates the pipe-delimited ones."""
+    return spark.read.option("header", True).option("sep", sep).option("inferSchema", False).csv(path)
+
+
+def listed_symbols(listing: DataFrame, symbol: str, test_issue: str | None = None, exchange: tuple[str, str] | None = None) -> DataFrame:
+    """``symbol`` of real issues, normalised: no test issue, of the exchange (column, code) if asked, no null and no trailer row."""
+    rows = listing.where(F.col(symbol).isNotNull() & ~F.startswith(F.col(symbol), F.lit("File Creation Time")))
+    if test_issue:
+        rows = rows.where(F.col(test_issue) == "N")
+    if exchange:
+        rows = rows.where(F.col(exchange[0]) == exchange[1])
+    return rows.select(normalize_symbol(F.col(symbol)).alias("symbol"))
+
+
+def universe(*lists: DataFrame) -> DataFrame:
+    """The distinct symbols of all lists, in order, without blank ones."""
+    every = reduce(DataFrame.unionByName, [df.select("symbol") for df in lists])
+    return every.where("symbol <> ''").distinct().orderBy("symbol")
+
+
+def split_symbols(df: DataFrame, symbol: str) -> tuple[DataFrame, DataFrame]:
+    """(rows with a symbol, trimmed; rows without one)."""
+    clean = F.nullif(F.trim(F.col(symbol).cast("string")), F.lit(""))
+    return df.withColumn(symbol, clean).where(F.col(symbol).isNotNull()), df.where(clean.isNull())
+
+
+#: File types that are read.
+FILE_TYPES = ("json", "csv", "parquet")
+
+
+def file_type_allowed(kind: Column) -> Column:
+    """Whether a file type is one that is read, in any case; null isn't."""
+    return F.coalesce(F.lower(kind).isin(*FILE_TYPES), F.lit(False))
+
+
+def listed_objects(spark: SparkSession, path: str) -> DataFrame:
+    """``key, size`` of the files under a prefix, for a summary that lists no objects; contents aren't read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.col("path").alias("key"), F.col("length").alias("size"))
+
+
 def wide_to_long(df: DataFrame, ids: list[str], fields: list[str]) -> DataFrame:
     """Columns ``SYMBOL_field`` to one row per id and symbol; a symbol without any value is left out."""
     symbols = sorted({c.rsplit("_", 1)[0] for c in df.columns if c not in ids})

@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidewell.functions.prices import adjust
 from tidewell.operators.batches import manifests
-from tidewell.operators.quality import Gate, day_verdicts, gate_rows
+from tidewell.operators.load import ledger
+from tidewell.operators.quality import Gate, day_verdicts, no_data, split_by_verdict
+from tidewell.operators.schema_versions import fingerprint
+from tidewell.session import settle
+from tidewell.sources.readers import has_rows
 
 
 def dated(df: DataFrame, **layer: str) -> DataFrame:
@@ -23,20 +34,50 @@ def write_layer(df: DataFrame, root: str, layer: str, codec: str = "zstd") -> No
     out.write.partitionBy("year", "month", "day", "layer").option("partitionOverwriteMode", "dynamic").option("compression", codec).mode("overwrite").parquet(root)
 
 
-def compact(df: DataFrame, path: str, codec: str = "zstd", max_records: int = 5_000_000) -> None:
-    """One folder of files of the advised size."""
-    df.hint("rebalance").write.option("compression", codec).option("maxRecordsPerFile", max_records).mode("overwrite").parquet(path)
+@contextmanager
+def advised(spark: SparkSession, megabytes: int) -> Iterator[None]:
+    """Rebalanced partitions of about so many megabytes, of 32 at least; the session's own size comes back after."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, f"{max(32, megabytes)}m")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
 
+def compact(df: DataFrame, path: str, codec: str = "zstd", max_records: int = 5_000_000, target_mb: int = 256) -> bool:
+    """One folder of files of the target size, at least 32 MB. Without rows nothing is written; whether there were any."""
+    if not has_rows(df):
+        return False
+    with advised(df.sparkSession, target_mb):
+        df.hint("rebalance").write.option("compression", codec).option("maxRecordsPerFile", max_records).mode("overwrite").parquet(path)
+    return True
 
-def gate_and_write(df: DataFrame, root: str, gate: Gate = Gate(), fail: bool = True) -> None:
-    """Quarantine the failing days' rows, write the others' curated rows, then raise with the failing days' messages if asked."""
-    from tidewell.functions.prices import adjust
 
-    good, bad = gate_rows(df, gate)
-    write_layer(bad, root, "quarantine")
-    write_layer(adjust(good), root, "adjusted")
-    if fail and (first := day_verdicts(df, gate).where("action = 'quarantine'").orderBy("ds").first()):
-        raise ValueError("DQ_FAILED: " + "; ".join(first.messages))
+def gate_and_write(df: DataFrame, root: str, gate: Gate = Gate(), fail: bool = True) -> DataFrame:
+    """Quarantine the failing days' rows, write the others' curated rows, then raise with the failing days' messages if asked.
+
+    Without rows nothing is written, and NO_RAW_DATA is raised if asked. Verdicts, one row per day, are
+    written once and decide both layers; they are returned.
+    """
+    verdicts = settle(day_verdicts(df, gate))
+    if verdicts.isEmpty():
+        verdicts = no_data(df.sparkSession, gate)
+        if fail:
+            raise ValueError("; ".join(verdicts.first().messages))
+        return verdicts
+    good, bad = split_by_verdict(df, verdicts)
+    curated = adjust(good)
+    # Both layers are one table to a catalog, so columns that they share have one type.
+    kinds = dict(curated.dtypes)
+    write_layer(bad.select(*[F.col(c).cast(kinds[c]) for c in bad.columns]), root, "quarantine")
+    write_layer(curated, root, "adjusted")
+    failing = verdicts.where("action = 'quarantine'")
+    if fail and (first := failing.orderBy("ds").first()):
+        n = failing.count()
+        raise ValueError("DQ_FAILED: " + "; ".join(first.messages) + (f" ({first.ds}; {n} days failed)" if n > 1 else ""))
+    return verdicts
 
 
 def land_raw(df: DataFrame, root: str, existing: DataFrame | None = None, file_type: str = "json", gzip: bool = False) -> None:
@@ -53,12 +94,63 @@ def write_manifests(objects: DataFrame, path: str) -> None:
     manifests(objects).write.mode("overwrite").json(path)
 
 
+def write_manifest_documents(documents: DataFrame, path: str) -> None:
+    """Whole manifests, one JSON file in the folder of each day."""
+    dated(documents).repartition("ds").write.partitionBy("year", "month", "day").mode("overwrite").json(path)
+
+
 def write_messages(messages: DataFrame, path: str) -> None:
+    """Messages by domain, which is their route: key, body and headers as a queue takes them."""
     messages.write.partitionBy("domain").mode("append").json(path)
 
 
-def register_table(spark, name: str, root: str) -> None:
-    """A catalog table over a layered root; partitions are recovered, quarantined rows left out by the view ``<name>_good``."""
-    spark.catalog.createTable(name, path=root, source="parquet")
+def append_ledger(loaded: str, path: str, spark: SparkSession, correlation_id: str) -> None:
+    """Append a row per file of a loaded layer to the ledger: domain, table, day, file, records, bytes, id and time."""
+    part = lambda pattern: F.nullif(F.regexp_extract("_metadata.file_path", pattern, 1), F.lit(""))
+    day = F.concat_ws("-", *[F.regexp_extract("_metadata.file_path", rf"/{n}=(\d+)", 1) for n in ("year", "month", "day")])
+    rows = ledger(spark.read.parquet(loaded), part(r"([^/]+)/[^/]+/interval=").alias("domain"), part(r"([^/]+)/interval=").alias("table_name"), F.try_to_date(day).alias("partition_date"))
+    rows.withColumns({"correlation_id": F.lit(correlation_id), "processed_at": F.current_timestamp()}).write.mode("append").parquet(path)
+
+
+def append_version(schema: T.StructType, table_name: str, path: str, spark: SparkSession, codec: str = "zstd") -> int:
+    """Append a table's schema version unless its hash is the latest one's; its number."""
+    print_ = fingerprint(schema, codec)
+    try:
+        last = spark.read.parquet(path).where(F.col("table_name") == table_name).orderBy(F.col("version").desc()).first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = None
+    if last and last.hash == print_["hash"]:
+        return last.version
+    version = last.version + 1 if last else 1
+    columns = [(c["name"], c["type"]) for c in print_["columns"]]
+    row = spark.createDataFrame([(table_name, version, columns, codec, print_["hash"])], "table_name string, version int, columns array<struct<name:string,type:string>>, codec string, hash string")
+    row.write.mode("append").parquet(path)
+    return version
+
+
+def run_report(layers: dict[str, DataFrame]) -> DataFrame:
+    """``layer, records, days, first_ds, last_ds`` of each layer, one aggregate each; a layer without rows has zero records."""
+    one = lambda name, df: df.agg(F.lit(name).alias("layer"), F.count("*").alias("records"), F.count_distinct("ds").alias("days"), F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds"))
+    return reduce(DataFrame.unionByName, [one(n, df) for n, df in layers.items()])
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    report.coalesce(1).write.mode("overwrite").json(path)
+
+
+def register_table(spark: SparkSession, name: str, root: str) -> None:
+    """A catalog table over a layered root, brought up to date if it is there: new columns are added, new partitions found.
+
+    Quarantined rows are left out by the view ``<name>_good``.
+    """
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=root, source="parquet")
+    else:
+        known = {c.lower() for c in spark.table(name).columns}
+        new = [f for f in spark.read.option("mergeSchema", True).parquet(root).schema.fields if f.name.lower() not in known]
+        if new:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
     spark.catalog.recoverPartitions(name)
-    spark.sql(f"CREATE OR REPLACE TEMP VIEW {name}_good AS SELECT * FROM {name} WHERE layer <> 'quarantine'")
+    spark.sql(f"CREATE OR REPLACE VIEW {name}_good AS SELECT * FROM {name} WHERE layer <> 'quarantine'")
