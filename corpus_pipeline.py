@@ -14,7 +14,7 @@ from tidewell.llm.lines import drop_boilerplate
 from tidewell.llm.packing import pack, token_pieces
 from tidewell.llm.secrets import redact_secrets
 from tidewell.llm.similar import keep_one_similar
-from tidewell.llm.tables import settle, table
+from tidewell.llm.tables import forget, settle, table, unused
 from tidewell.llm.toxicity import score_toxicity, train
 
 
@@ -24,28 +24,45 @@ def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a score of 0.5 or more go."""
+    """Documents with a score of 0.5 or more go.
+
+    Null and empty texts have the model's bias alone; repeated rows stay or go together; without labels of
+    both kinds all stay or go by the labels' share; an empty table gives an empty table.
+    """
     model = train(docs, table(spark, sf_dir, "labels"))
-    return score_toxicity(docs, model, out="_toxicity").where("_toxicity < 0.5").drop("_toxicity")
+    (score,) = unused(docs, "toxicity")
+    return score_toxicity(docs, model, out=score).where(F.col(score) < 0.5).drop(score)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of each source leave its texts; every document stays."""
+    """Boilerplate lines of each source leave its texts; every document stays.
+
+    Null texts and those of a null source stay as they are; repeated rows are pages of their own; an empty
+    table gives an empty table.
+    """
     return _measured(drop_boilerplate(docs), docs.columns)
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group with 5-word shingle similarity of 0.8 or more stays, that of the smallest id."""
+    """One document of each group with 5-word shingle similarity of 0.8 or more stays, that of the smallest id.
+
+    Texts without words, null ones too, are one group; rows without an id all stay; of equal rows one stays;
+    an empty table gives an empty table.
+    """
     return keep_one_similar(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the texts are replaced by a mark; every document stays."""
+    """Secrets in the texts are replaced by a mark; every document stays. Null texts stay null; an empty table gives an empty table."""
     return _measured(redact_secrets(docs), docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents, each with its sequence and its place there."""
+    """Token pieces of all documents, each with its sequence and its place there.
+
+    A null or empty text has a piece of its end id alone; repeated rows and null ids are packed like any
+    other; an empty table gives none.
+    """
     return pack(token_pieces(docs))
 
 
@@ -58,5 +75,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir))
+        before, docs = docs, settle(stage(spark, docs, sf_dir))
+        forget(before)
     return STAGES[-1][1](spark, docs, sf_dir)

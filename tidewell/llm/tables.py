@@ -1,33 +1,10 @@
-"""Reading the corpus tables, and cutting lineage with tables written to the cluster's shared folder."""
+"""Reading the corpus tables, cutting lineage with tables written to the cluster's shared folder, and names for temporary columns."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tidewell.session import fresh_path, table  # noqa: F401
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
-
-    What follows starts from files that every executor can read, so a lost executor costs a re-read
-    and never a re-computation of a Python stage, and Spark knows the true size of the table when it
-    chooses a join. ``forget`` deletes the files once nothing reads them any more.
-    """
-    path = fresh_path(df.sparkSession)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out.settled_at = path
-    return out
-
-
-def forget(*settled: DataFrame | None) -> None:
-    """Delete the files of settled tables; what was made from them must have been written before."""
-    for df in settled:
-        if path := getattr(df, "settled_at", None):
-            context = df.sparkSession.sparkContext
-            place = context._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+from tidewell.session import forget, settle, table  # noqa: F401
 
 
 def unused(df: DataFrame, *names: str) -> list[str]:
