@@ -29,10 +29,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = ends.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("lo"), F.least("u", "m").alias("m"))
         large = e.join(least, "lo").select("hi", F.col("m").alias("lo")).distinct()
         lowest = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(lowest, "hi").select(
-            F.explode(F.array(F.struct(F.col("hi").alias("hi"), F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("x")
-        )
-        before, e = e, settle(small.select("x.hi", "x.lo").where("hi <> lo").distinct())
+        small = lowest.select("hi", F.col("m").alias("lo")).union(large.join(lowest, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
+        before, e = e, settle(small.where("hi <> lo").distinct())
         forget(before)
         was, mark = mark, _mark(e)
         if was == mark:

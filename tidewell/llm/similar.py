@@ -29,15 +29,24 @@ MISS = 0.005
 #: Bits of a segment that are flipped in turn, those of the narrowest majority; they hold about 0.85 of what all would find.
 FLIPS = 7
 FLIPS_HOLD = 0.85
-#: Candidates differ in at most this part of a fingerprint's bits, and of its first bits, which fill so many numbers.
-MOST_BITS = 0.3
-CHECKS = ("check0", "check1")
+#: A fingerprint has so many 64-bit words at least, and as many as its segments take; pairs are compared by the first few inside
+#: the join of all texts, and by all of them after it and in crowded buckets.
+WORDS_OF_BITS = 13
+CHECKS = tuple(f"check{k}" for k in range(4))
+#: Candidates differ in at most ``DIFFER`` of the compared bits and so many standard deviations more; those of texts with
+#: fewer shingles than ``SMALL``, whose bits differ more often, in at most ``MOST_SMALL``.
+DEVIATIONS = 3.1
+SMALL = 8
+MOST_SMALL = 0.3
 #: A bucket is crowded from about SAMPLED * SAMPLE rows: it is looked for among one in SAMPLE texts. All pairs of others are compared.
-SAMPLE = 16
-SAMPLED = 4
-#: All pairs of crowded buckets that aren't connected yet are compared once they are at most so many per bucket row.
+SAMPLE = 8
+SAMPLED = 3
+#: All pairs of crowded buckets that aren't connected yet are compared once they are at most so many per bucket row, or once a
+#: round with leaders has left over half of them: those that are left then are unlike each other for the most part.
 PAIRS_A_ROW = 8
 LEADER_ROUNDS = 6
+#: Up to so many texts to be fetched, 16 bytes each, are broadcast.
+BROADCAST_TEXTS = 200_000
 
 
 def sketch_plan(rows: int) -> tuple[int, int]:
@@ -65,17 +74,17 @@ def _lanes(hashes: np.ndarray, n: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def sketch(hashes: np.ndarray, width: int, segments: int) -> tuple[np.ndarray, np.ndarray]:
-    """(value, flips) of each segment of the SimHash of a set: a bit is the majority's; ``flips`` marks the bits of the narrowest majorities."""
+def sketch(hashes: np.ndarray, width: int, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The SimHash of a set as (value, flips) of each segment and as 64-bit words: a bit is the majority's; ``flips`` marks the bits of the narrowest majorities."""
     if not len(hashes):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    lanes = -(-width * segments // 64)
+        return (np.zeros(0, np.int64),) * 3
+    lanes = max(WORDS_OF_BITS, -(-width * segments // 64))
     ones = np.zeros(lanes * 64, np.int64)
     for at in range(0, len(hashes), 2048):
         ones += np.unpackbits(_lanes(hashes[at : at + 2048], lanes).view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.int32)
     lead = (2 * ones[: width * segments] - len(hashes)).reshape(segments, width)
     low = np.argpartition(np.abs(lead), FLIPS - 1, axis=1)[:, :FLIPS]
-    return (lead > 0) @ (1 << np.arange(width)), (1 << low).sum(1)
+    return (lead > 0) @ (1 << np.arange(width)), (1 << low).sum(1), np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")
 
 
 def _signed(x: int) -> int:
@@ -83,23 +92,21 @@ def _signed(x: int) -> int:
 
 
 def _prints(docs: DataFrame, words: int, width: int, segments: int) -> DataFrame:
-    """``(doc_id, row, node, n, value, flips)`` of ``docs(doc_id, row, text)``; ``node`` stands for the set of shingles."""
-    names = ["doc_id", "row", "node", "n", "value", "flips"]
+    """``(doc_id, row, node, n, value, flips, bits)`` of ``docs(doc_id, row, text)``; ``node`` stands for the set of shingles."""
+    names = ["doc_id", "row", "node", "n", "value", "flips", "bits"]
 
     def run(batches):
         for b in batches:
-            nodes, sizes, values, flips = [], [], [], []
+            nodes, sizes, prints = [], [], []
             for t in b.column(2):
                 h = shingles(t.as_py(), words)
                 nodes.append(_signed(xxhash.xxh3_64_intdigest(h.tobytes(), SEED)))
                 sizes.append(len(h))
-                value, flip = sketch(h, width, segments)
-                values.append(value)
-                flips.append(flip)
-            longs = pa.list_(pa.int64())
-            yield pa.record_batch([b.column(0), b.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(values, longs), pa.array(flips, longs)], names)
+                prints.append(sketch(h, width, segments))
+            arrays = [pa.array([p[k] for p in prints], pa.list_(pa.int64())) for k in range(3)]
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), *arrays], names)
 
-    return docs.mapInArrow(run, "doc_id long, row long, node long, n long, value array<long>, flips array<long>")
+    return docs.mapInArrow(run, "doc_id long, row long, node long, n long, value array<long>, flips array<long>, bits array<long>")
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
@@ -113,78 +120,115 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "node long, hashes array<long>")
 
 
-def _keys(width: int) -> Column:
-    """The Hamming balls around the segments: each value, and it with one of its ``flips`` turned."""
+def _segments() -> Column:
+    """Keys of the segments themselves."""
+    return F.transform("value", lambda value, k: value.bitwiseOR(F.call_function("shiftleft", k.cast("long"), F.lit(48))))
 
-    def ball(value: Column, k: Column) -> Column:
-        own = value.bitwiseOR(F.call_function("shiftleft", k.cast("long"), F.lit(48)))
+
+def _balls(width: int) -> Column:
+    """Keys of the Hamming balls around the segments: each one, and it with one of its ``flips`` turned."""
+
+    def ball(own: Column, k: Column) -> Column:
         bits = F.filter(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda b: F.call_function("shiftleft", F.lit(1).cast("long"), b)), lambda m: F.get("flips", k).bitwiseAND(m) != 0)
         return F.array_append(F.transform(bits, lambda m: own.bitwiseXOR(m)), own)
 
-    return F.flatten(F.transform("value", ball))
+    return F.flatten(F.transform(_segments(), ball))
 
 
-def _checks(width: int) -> list[Column]:
-    """The first segments of a fingerprint, as many to a number as have room in 64 bits."""
-    each, out = 64 // width, []
-    for n, name in enumerate(CHECKS):
-        parts = [F.shiftleft(F.coalesce(F.get("value", F.lit(n * each + k)), F.lit(0)), k * width) for k in range(each)]
-        out.append(reduce(lambda x, y: x.bitwiseOR(y), parts).alias(name))
-    return out
+def _near(x: str, y: str, whole: bool) -> Column:
+    """Whether rows named ``x`` and ``y`` differ in few enough bits, of the first words or of the whole fingerprint."""
+    of = lambda n, c: F.col(f"{n}.{c}")
+    differ = lambda p, q: F.bit_count(p.bitwiseXOR(q)).cast("int")
+    if whole:
+        distance, bits = F.aggregate(F.zip_with(of(x, "bits"), of(y, "bits"), differ), F.lit(0), lambda s, d: s + d), 64 * F.size(of(x, "bits"))
+    else:
+        distance, bits = reduce(lambda s, d: s + d, [differ(of(x, c), of(y, c)) for c in CHECKS]), F.lit(64 * len(CHECKS))
+    most = DIFFER + DEVIATIONS * (DIFFER * (1 - DIFFER)) ** 0.5 / F.sqrt(bits)
+    return distance <= F.when(F.least(of(x, "n"), of(y, "n")) < SMALL, MOST_SMALL).otherwise(most) * bits
 
 
-def _bits(x: Column) -> Column:
-    return F.bit_count(x).cast("int")
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of ``pairs(a, b)`` within the complete distance whose sets are similar, by the exact intersection."""
+    up, down = SIMILARITY
+    both = F.size(F.array_intersect("x.hashes", "y.hashes"))
+    alike = both * (up + down) >= (F.size("x.hashes") + F.size("y.hashes")) * up
+    met = pairs.join(sets.alias("x"), F.col("a") == F.col("x.node")).join(sets.alias("y"), F.col("b") == F.col("y.node"))
+    return met.where(_near("x", "y", True) & alike).select("a", "b")
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, bits: int) -> DataFrame:
-    """Those of ``pairs(a, b)`` within the complete distance whose sets are similar, by the exact intersection."""
+def _pair(where: Column, left: DataFrame, right: DataFrame, whole: bool = False) -> DataFrame:
+    """``(a, b)`` of rows ``l`` and ``r`` of different components under one key, of like size and near by their bits, once each."""
     up, down = SIMILARITY
-    one, two = (sets.select(F.col("node").alias(n), F.col("value").alias(f"v{n}"), F.col("hashes").alias(f"h{n}")) for n in "ab")
-    distance = F.aggregate(F.zip_with("va", "vb", lambda x, y: _bits(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    both = F.size(F.array_intersect("ha", "hb"))
-    near = (distance <= int(MOST_BITS * bits)) & (both * (up + down) >= (F.size("ha") + F.size("hb")) * up)
-    return pairs.join(one, "a").join(two, "b").where(near).select("a", "b")
-
-
-def _pair(where: Column, left: DataFrame, right: DataFrame, width: int) -> DataFrame:
-    """``(a, b)`` of rows ``l`` and ``r`` under one key whose first bits are near, once each."""
-    differ = [_bits(F.col(f"l.{c}").bitwiseXOR(F.col(f"r.{c}"))) for c in CHECKS]
-    check = reduce(lambda x, y: x + y, differ) <= int(MOST_BITS * len(CHECKS) * (64 // width * width))
-    met = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & where & check)
+    like = F.least("l.n", "r.n") * down >= F.greatest("l.n", "r.n") * up
+    met = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.c") != F.col("r.c")) & where & like & _near("l", "r", whole))
     return met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
 
 
-def crowd_links(links: DataFrame, buckets: DataFrame, sets: DataFrame, width: int, segments: int) -> DataFrame:
-    """``links(a, b)`` and enough more to connect what similar pairs within ``buckets(key, node, n, check0, check1)`` connect.
-
-    Only what isn't connected yet needs comparing. While crowded buckets hold many such pairs, each round
-    compares all rows of a bucket with one leader, which connects a large group in time linear in its rows;
-    the pairs that then still lie in different components are all compared.
-    """
-    up, down = SIMILARITY
-    can = F.least("l.n", "r.n") * down >= F.greatest("l.n", "r.n") * up
-    n_rows = buckets.count()
-    for t in range(LEADER_ROUNDS + 1):
-        named = components(links).select("node", F.col("component").alias("c_"))
-        rows = buckets.join(named, "node", "left").select("key", "node", "n", *CHECKS, F.coalesce("c_", "node").alias("c"))
-        parts = settle(rows.groupBy("key", "c").agg(F.count("*").alias("k")))
-        whole = parts.groupBy("key").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("own"), F.max_by("c", F.struct("k", "c")).alias("largest"))
-        whole = settle(whole.where("all * all > own"))
-        left = whole.agg(F.sum((F.col("all").cast("double") * F.col("all") - F.col("own")) / 2)).first()[0] or 0
-        if not left:
-            break
-        last = left <= PAIRS_A_ROW * n_rows or t == LEADER_ROUNDS
-        rows = settle(rows.join(whole.select("key", "largest"), "key"))
-        if last:  # one end of each pair lies outside the bucket's largest component
-            side = rows.where("c <> largest")
-        else:
-            side = rows.groupBy("key").agg(F.min_by(F.struct("node", "n", *CHECKS, "c"), F.struct(F.xxhash64("node", F.lit(t)), "node")).alias("x")).select("key", "x.*")
-        pairs = settle(_pair((F.col("l.c") != F.col("r.c")) & can, side, rows, width))
-        links = links.unionByName(settle(_similar(pairs, sets, width * segments)))
-        if last:
-            break
-    return links
+class Groups:
+    """Texts with their components so far: ``labels(node, c)``; pairs of texts are verified and join components."""
+
+    def __init__(self, nodes: DataFrame, text: DataFrame, words: int):
+        """``nodes(node, n, value, flips, bits, first)`` are distinct sets of shingles, ``text(doc_id, row, text)`` the texts that they come from."""
+        self.nodes, self.text, self.words = nodes, text, words
+        self.labels = settle(nodes.select("node", F.col("node").alias("c")))
+
+    def rows(self, keys: Column, labelled: bool = False) -> DataFrame:
+        """``key, node, n`` under each of a text's ``keys``, with the whole fingerprint, or with its first words and ``c``."""
+        some = self.nodes.join(self.labels, "node") if labelled else self.nodes
+        also = [*(F.get("bits", F.lit(k)).alias(c) for k, c in enumerate(CHECKS)), "c"] if labelled else ["bits"]
+        return some.select(F.explode(keys).alias("key"), "node", F.col("n").cast("int").alias("n"), *also)
+
+    def _sets(self, pairs: DataFrame) -> DataFrame:
+        wanted = settle(self.nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", "n", "bits", "first"))
+        place = wanted.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"))
+        place = F.broadcast(place) if wanted.count() <= BROADCAST_TEXTS else place
+        sets = _sets(self.text.join(place, ["doc_id", "row"]).select("node", "text"), self.words).dropDuplicates(["node"])
+        out = settle(sets.join(wanted.select("node", "n", "bits"), "node"))
+        forget(wanted)
+        return out
+
+    def join(self, pairs: DataFrame) -> None:
+        """Connect the components of those of ``pairs(a, b)`` that are similar."""
+        pairs = settle(pairs)
+        if not pairs.isEmpty():
+            sets = self._sets(pairs)
+            links = settle(_similar(pairs, sets))
+            named = lambda n: self.labels.select(F.col("node").alias(n), F.col("c").alias(f"c{n}"))
+            found = components(links.join(named("a"), "a").join(named("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+            before, found = self.labels, found.select(F.col("node").alias("c"), "component")
+            self.labels = settle(before.join(found, "c", "left").select("node", F.coalesce("component", "c").alias("c")))
+            forget(before, sets, links)
+        forget(pairs)
+
+    def follow_leaders(self, buckets: DataFrame, rounds: int, rest: bool) -> None:
+        """Connect similar texts within ``buckets(key, node, n, bits)``, in time linear in a bucket's rows for each round.
+
+        Each round compares all rows outside the largest component of a bucket with one row of it, the
+        leader. The ``rest`` of the pairs, those that still lie in different components, is compared at the
+        end if asked: one end of each is outside the largest component.
+        """
+        before = math.inf
+        for t in range(rounds + 1):
+            rows = buckets.join(self.labels, "node")
+            parts = rows.groupBy("key", "c").agg(F.count("*").alias("k"))
+            whole = parts.groupBy("key").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("own"), F.max_by("c", F.struct("k", "c")).alias("largest"))
+            whole = settle(whole.where("all * all > own"))
+            n_rows, left = whole.agg(F.sum("all"), F.sum((F.col("all").cast("double") * F.col("all") - F.col("own")) / 2)).first()
+            if not left:
+                break
+            last = t == rounds or 2 * left > before or rest and left <= PAIRS_A_ROW * n_rows
+            before = left
+            if last and not rest:
+                break
+            rows = settle(rows.join(whole.select("key", "all", "largest"), "key"))
+            outside = rows.where("c <> largest")
+            if last:
+                self.join(_pair(F.lit(True), outside, rows, whole=True))
+                break
+            leader = F.min_by(F.struct("node", "n", "bits", "c"), F.struct(F.xxhash64("node", F.lit(t)), "node"))
+            self.join(_pair(F.lit(True), rows.where("c = largest").groupBy("key").agg(leader.alias("x")).select("key", "x.*"), outside, whole=True))
+            # Two rows have been compared for good.
+            buckets = rows.where("all > 2").select("key", "node", "n", "bits")
 
 
 def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
@@ -194,35 +238,39 @@ def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     group. Among rows of a group's smallest id the one with the least row hash stays; of equal rows one
     stays. Texts without words are similar to each other alone. An empty table gives an empty table.
 
-    Each text writes its segments' small Hamming balls; texts that meet are compared by their first bits
-    inside the join, then by the complete distance, then by their sets of shingles. A pair at the least
-    similarity is missed with a probability of about ``MISS``, and more often only if a text has fewer
-    than about ten shingles. Sets are known by a 64-bit hash.
+    Texts that share a segment follow a leader first, which connects large groups at little cost. Then
+    each text writes its segments' small Hamming balls, and texts of different components that meet are
+    compared by the first words of their fingerprints inside the join, by the complete distance, and by
+    their sets of shingles.
+    Crowded buckets follow leaders until the rest of their pairs is worth comparing. A pair at the least
+    similarity is missed with a probability of about ``MISS``, and more often only if a text has fewer than
+    about ten shingles. Sets are known by a 64-bit hash.
     """
     width, segments = sketch_plan(docs.count())
     rows, names = with_row_key(docs, id_col)
     text = rows.select(F.col(names[0]).alias("doc_id"), F.col(names[1]).alias("row"), F.col(text_col).alias("text"))
     own = settle(_prints(text, words, width, segments))
     least = F.min(F.struct("doc_id", "row")).alias("first")
-    nodes = settle(own.groupBy("node").agg(least, F.first("n").alias("n"), F.first("value").alias("value"), F.first("flips").alias("flips")))
-    points = lambda some, *also: some.select(F.explode(_keys(width)).alias("key"), "node", *_checks(width), *also)
-    few = nodes.where(F.pmod("node", F.lit(SAMPLE)) == 0)
-    crowded = settle(points(few).groupBy("key").count().where(F.col("count") >= SAMPLED).select("key"))
-    table, buckets = points(nodes), None
-    if n_crowded := crowded.count():
-        table = table.join(crowded, "key", "left_anti")
-    near = settle(_pair(F.col("l.node") < F.col("r.node"), table, table, width))
-    wanted = near.select(F.explode(F.array("a", "b")).alias("node"))
-    if n_crowded:
-        buckets = settle(points(nodes, "n").join(crowded, "key", "left_semi"))
-        wanted = wanted.union(buckets.select("node"))
-    wanted = settle(nodes.join(wanted.distinct(), "node", "left_semi").select("node", "value", "first"))
-    source = text.join(wanted.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row")), ["doc_id", "row"])
-    sets = settle(_sets(source.select("node", "text"), words).dropDuplicates(["node"]).join(wanted.select("node", "value"), "node"))
-    links = settle(_similar(near, sets, width * segments))
-    if n_crowded:
-        links = crowd_links(links, buckets, sets, width, segments)
-    grouped = nodes.select("node", "first").join(components(links), "node", "left").select("first", F.coalesce("component", "node").alias("c"))
+    nodes = settle(own.groupBy("node").agg(least, F.first("n").alias("n"), *[F.first(c).alias(c) for c in ("value", "flips", "bits")]))
+    forget(own)
+    groups = Groups(nodes, text, words)
+
+    plain = groups.rows(_segments())
+    shared = plain.groupBy("key").count().where("count > 1").select("key")
+    plain = settle(plain.join(shared, "key", "left_semi"))
+    groups.follow_leaders(plain, LEADER_ROUNDS, rest=False)
+    forget(plain)
+
+    balls = groups.rows(_balls(width))
+    crowded = settle(balls.where(F.pmod("node", F.lit(SAMPLE)) == 0).groupBy("key").count().where(F.col("count") >= SAMPLED).select("key"))
+    table = groups.rows(_balls(width), labelled=True).join(crowded, "key", "left_anti")
+    groups.join(_pair(F.col("l.node") < F.col("r.node"), table, table))
+    if not crowded.isEmpty():
+        buckets = settle(balls.join(crowded, "key", "left_semi"))
+        groups.follow_leaders(buckets, LEADER_ROUNDS, rest=True)
+        forget(buckets)
+
+    grouped = nodes.select("node", "first").join(groups.labels, "node")
     kept = settle(grouped.groupBy("c").agg(F.min("first").alias("x")).select("x.doc_id", "x.row"))
-    forget(own, nodes, crowded, near, wanted, sets, links, buckets)
+    forget(nodes, crowded, groups.labels)
     return rows_of(docs, rows, names, kept, id_col)
