@@ -34,7 +34,7 @@ class WordTokenizer(dict):
     SIMPLE = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xff]*")
     _LETTER, _DIGIT = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
     WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^\s{_LETTER}{_DIGIT}]+")
-    MOST = 1 << 20
+    MOST = 1 << 18
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer

@@ -49,7 +49,7 @@ class Toxicity:
     min_docs: int = 2
     pad: int = 40
     seed: int = 7
-    cache_words: int = 1 << 18
+    cache_words: int = 1 << 17
     texts: int = 256
 
 
