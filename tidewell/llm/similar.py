@@ -26,13 +26,13 @@ SIMILARITY = (4, 5)
 DIFFER = 0.1515
 #: A pair at the least similarity meets in no segment with at most this probability.
 MISS = 0.005
-#: Bits of a segment that are flipped in turn, those of the narrowest majority; they hold about 0.85 of what all would find.
-FLIPS = 7
-FLIPS_HOLD = 0.85
+#: Bits of a segment that are flipped in turn, those of the narrowest majority; they find about 0.8 of what all would.
+FLIPS = 5
+FLIPS_HOLD = 0.8
 #: A fingerprint has so many 64-bit words at least, and as many as its segments take; pairs are compared by the first few inside
 #: the join of all texts, and by all of them after it and in crowded buckets.
 WORDS_OF_BITS = 13
-CHECKS = tuple(f"check{k}" for k in range(4))
+CHECKS = tuple(f"check{k}" for k in range(3))
 #: Candidates differ in at most ``DIFFER`` of the compared bits and so many standard deviations more; those of texts with
 #: fewer shingles than ``SMALL``, whose bits differ more often, in at most ``MOST_SMALL``.
 DEVIATIONS = 3.1
@@ -45,8 +45,8 @@ SAMPLED = 3
 #: round with leaders has left over half of them: those that are left then are unlike each other for the most part.
 PAIRS_A_ROW = 8
 LEADER_ROUNDS = 6
-#: Up to so many texts to be fetched, 16 bytes each, are broadcast.
-BROADCAST_TEXTS = 200_000
+#: Up to so many keys, or places of texts to be fetched, of 8 or 16 bytes each, are broadcast.
+BROADCAST_ROWS = 200_000
 
 
 def sketch_plan(rows: int) -> tuple[int, int]:
@@ -164,6 +164,11 @@ def _pair(where: Column, left: DataFrame, right: DataFrame, whole: bool = False)
     return met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
 
 
+def few(rows: DataFrame, n: int) -> DataFrame:
+    """``rows``, of which there are ``n``, to be broadcast in a join while they are few."""
+    return F.broadcast(rows) if n <= BROADCAST_ROWS else rows
+
+
 class Groups:
     """Texts with their components so far: ``labels(node, c)``; pairs of texts are verified and join components."""
 
@@ -173,15 +178,15 @@ class Groups:
         self.labels = settle(nodes.select("node", F.col("node").alias("c")))
 
     def rows(self, keys: Column, labelled: bool = False) -> DataFrame:
-        """``key, node, n`` under each of a text's ``keys``, with the whole fingerprint, or with its first words and ``c``."""
+        """``key, node, n, check0, check1, ...`` and, if asked, ``c`` under each of a text's ``keys``."""
         some = self.nodes.join(self.labels, "node") if labelled else self.nodes
-        also = [*(F.get("bits", F.lit(k)).alias(c) for k, c in enumerate(CHECKS)), "c"] if labelled else ["bits"]
-        return some.select(F.explode(keys).alias("key"), "node", F.col("n").cast("int").alias("n"), *also)
+        checks = [F.get("bits", F.lit(k)).alias(c) for k, c in enumerate(CHECKS)]
+        return some.select(F.explode(keys).alias("key"), "node", F.col("n").cast("int").alias("n"), *checks, *["c"] * labelled)
 
     def _sets(self, pairs: DataFrame) -> DataFrame:
         wanted = settle(self.nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", "n", "bits", "first"))
         place = wanted.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"))
-        place = F.broadcast(place) if wanted.count() <= BROADCAST_TEXTS else place
+        place = few(place, wanted.count())
         sets = _sets(self.text.join(place, ["doc_id", "row"]).select("node", "text"), self.words).dropDuplicates(["node"])
         out = settle(sets.join(wanted.select("node", "n", "bits"), "node"))
         forget(wanted)
@@ -201,13 +206,13 @@ class Groups:
         forget(pairs)
 
     def follow_leaders(self, buckets: DataFrame, rounds: int, rest: bool) -> None:
-        """Connect similar texts within ``buckets(key, node, n, bits)``, in time linear in a bucket's rows for each round.
+        """Connect similar texts within ``buckets`` (as ``rows`` gives them), in time linear in a bucket's rows for each round.
 
         Each round compares all rows outside the largest component of a bucket with one row of it, the
         leader. The ``rest`` of the pairs, those that still lie in different components, is compared at the
         end if asked: one end of each is outside the largest component.
         """
-        before = math.inf
+        columns, before = ["key", "node", "n", *CHECKS], math.inf
         for t in range(rounds + 1):
             rows = buckets.join(self.labels, "node")
             parts = rows.groupBy("key", "c").agg(F.count("*").alias("k"))
@@ -223,12 +228,13 @@ class Groups:
             rows = settle(rows.join(whole.select("key", "all", "largest"), "key"))
             outside = rows.where("c <> largest")
             if last:
-                self.join(_pair(F.lit(True), outside, rows, whole=True))
+                whole_prints = self.nodes.select("node", "bits")
+                self.join(_pair(F.lit(True), outside.join(whole_prints, "node"), rows.join(whole_prints, "node"), whole=True))
                 break
-            leader = F.min_by(F.struct("node", "n", "bits", "c"), F.struct(F.xxhash64("node", F.lit(t)), "node"))
-            self.join(_pair(F.lit(True), rows.where("c = largest").groupBy("key").agg(leader.alias("x")).select("key", "x.*"), outside, whole=True))
+            leader = F.min_by(F.struct("node", "n", *CHECKS, "c"), F.struct(F.xxhash64("node", F.lit(t)), "node"))
+            self.join(_pair(F.lit(True), rows.where("c = largest").groupBy("key").agg(leader.alias("x")).select("key", "x.*"), outside))
             # Two rows have been compared for good.
-            buckets = rows.where("all > 2").select("key", "node", "n", "bits")
+            buckets = rows.where("all > 2").select(*columns)
 
 
 def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
@@ -263,10 +269,11 @@ def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     balls = groups.rows(_balls(width))
     crowded = settle(balls.where(F.pmod("node", F.lit(SAMPLE)) == 0).groupBy("key").count().where(F.col("count") >= SAMPLED).select("key"))
-    table = groups.rows(_balls(width), labelled=True).join(crowded, "key", "left_anti")
+    n_crowded = crowded.count()
+    table = groups.rows(_balls(width), labelled=True).join(few(crowded, n_crowded), "key", "left_anti")
     groups.join(_pair(F.col("l.node") < F.col("r.node"), table, table))
-    if not crowded.isEmpty():
-        buckets = settle(balls.join(crowded, "key", "left_semi"))
+    if n_crowded:
+        buckets = settle(balls.join(few(crowded, n_crowded), "key", "left_semi"))
         groups.follow_leaders(buckets, LEADER_ROUNDS, rest=True)
         forget(buckets)
 
