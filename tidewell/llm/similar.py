@@ -45,6 +45,8 @@ SAMPLED = 3
 #: round with leaders has left over half of them: those that are left then are unlike each other for the most part.
 PAIRS_A_ROW = 8
 LEADER_ROUNDS = 6
+#: Texts that are worked on at once.
+TEXTS = 512
 #: Up to so many keys, or places of texts to be fetched, of 8 or 16 bytes each, are broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -91,12 +93,18 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _parts(batches):
+    """Batches of a few texts, so that a task holds what it makes of few at once."""
+    for b in batches:
+        yield from (b.slice(at, TEXTS) for at in range(0, len(b), TEXTS))
+
+
 def _prints(docs: DataFrame, words: int, width: int, segments: int) -> DataFrame:
     """``(doc_id, row, node, n, value, flips, bits)`` of ``docs(doc_id, row, text)``; ``node`` stands for the set of shingles."""
     names = ["doc_id", "row", "node", "n", "value", "flips", "bits"]
 
     def run(batches):
-        for b in batches:
+        for b in _parts(batches):
             nodes, sizes, prints = [], [], []
             for t in b.column(2):
                 h = shingles(t.as_py(), words)
@@ -113,7 +121,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     """``(node, hashes)`` of ``docs(node, text)``."""
 
     def run(batches):
-        for b in batches:
+        for b in _parts(batches):
             sets = [shingles(t.as_py(), words).view(np.int64) for t in b.column(1)]
             yield pa.record_batch([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "hashes"])
 
