@@ -77,7 +77,7 @@ def segment_plan(distance: int, blocks: int, together: int = 1) -> Plan:
 
 def choose_plan(rows: int, distance: int = MAX_DISTANCE) -> Plan:
     """The first cut whose segments have a value for each of ``rows`` fingerprints and its table ball: up to
-    2**21 with three blocks, 2**26 with two, 2**37 with two of three together; any cut finds each pair."""
+    2**21 with three blocks, 2**26 with two, 2**36 with two of three together; any cut finds each pair."""
     plans = [segment_plan(distance, b, t) for b, t in CUTS if b <= distance + 1] or [segment_plan(distance, distance + 1)]
     width = lambda parts: sum(w for _, w in parts)
     roomy = (p for p in plans if all(rows * len(_masks(width(parts), r // 2)) <= 1 << width(parts) for parts, r in p))
