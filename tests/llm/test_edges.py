@@ -147,8 +147,8 @@ def test_the_least_mass_is_kept():
     _, mass = _unseen(one, 0, [np.array([0, 2, 4]), np.array([1, 4])])
     assert math.isclose(mass[0][0], tiny, rel_tol=1e-12)
     assert _unseen(one, 0, [np.array(k) for k in paths])[1][0][0] == 0
-    lp, _, path = _draw_other(one, 0, np.array([3], np.uint64), [np.array([0, 2, 4]), np.array([0, 3])])
-    assert path.tolist() == [1, 4] and math.isclose(lp, math.log(tiny))
+    lp, _, path, rest = _draw_other(one, 0, np.array([3], np.uint64), [np.array([0, 2, 4]), np.array([0, 3])])
+    assert path.tolist() == [1, 4] and math.isclose(lp, math.log(tiny)) and rest == 0
 
 
 def test_segmentation_query(spark, sf_dir):
