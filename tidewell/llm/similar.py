@@ -192,7 +192,8 @@ class Groups:
         return some.select(F.explode(keys).alias("key"), "node", F.col("n").cast("int").alias("n"), *checks, *["c"] * labelled)
 
     def _sets(self, pairs: DataFrame) -> DataFrame:
-        wanted = settle(self.nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", "n", "bits", "first"))
+        ends = pairs.select(F.col("a").alias("node")).distinct().union(pairs.select("b").distinct())
+        wanted = settle(self.nodes.join(ends, "node", "left_semi").select("node", "n", "bits", "first"))
         place = wanted.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"))
         place = few(place, wanted.count())
         sets = _sets(self.text.join(place, ["doc_id", "row"]).select("node", "text"), self.words).dropDuplicates(["node"])
