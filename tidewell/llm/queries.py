@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidewell.llm.embeddings import op10_multi_index
 from tidewell.llm.lines import OP3_SQL, op3_line_dedup
 from tidewell.llm.media import op8_matroska
+from tidewell.llm.multiset import op13_fingerprints
 from tidewell.llm.packing import op5_packing
 from tidewell.llm.secrets import op1_secret_scan
 from tidewell.llm.sharding import op7_sharding
@@ -16,7 +17,8 @@ from tidewell.llm.toxicity import op4_toxicity
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_secret_scan, op2_simhash, op3_line_dedup, op4_toxicity, op5_packing, op6_token_counts,
-                                    op7_sharding, op8_matroska, op9_segmentation, op10_multi_index)}
+                                    op7_sharding, op8_matroska, op9_segmentation, op10_multi_index,
+                                    op13_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
