@@ -20,6 +20,8 @@ FORMATS = {
     "ds": r"\d{4}-\d{2}-\d{2}",
 }
 BUCKET = r"\A[a-z0-9][a-z0-9.-]{1,61}[a-z0-9]\z"
+#: The layer that curated days are in.
+LAYERED = "adjusted"
 _NAMED = ("interval", "data_source", "year", "month", "day", "layer")
 #: A whole curated key; its groups are the fields before ``ds``, in order.
 _CURATED = rf"\A({FORMATS['domain']})/({FORMATS['table_name']})/interval=({FORMATS['interval']})(?:/data_source=({FORMATS['data_source']}))?" + "".join(

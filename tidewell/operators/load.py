@@ -6,15 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.keys import BUCKET, curated_key_error, first_of, is_curated_key, parse_curated_key, whole
-from tidewell.functions.scalars import PRIORITY, priority
+from tidewell.functions.scalars import PRIORITY, priority, stripped
 
 MIN_FILE_BYTES = 1024
 #: Fields of a message that equal the key's, with their names in texts; fields that have a format, in order.
 EQUAL = (("domain", "Domain"), ("table_name", "Table name"), ("interval", "Interval"), ("layer", "Layer"), ("year", "Year"), ("month", "Month"), ("day", "Day"), ("data_source", "Data source"), ("ds", "ds"))
 FORMATTED = ("interval", "data_source", "year", "month", "day", "layer", "ds")
-#: Outcomes of an attempt by the code of its error; other codes are exceptions.
-OUTCOMES = {"PARSE_ERROR": "PARSE_ERROR", "VALIDATION_ERROR": "FAIL", "FILE_NOT_FOUND": "FAIL", "PERMISSION_ERROR": "FAIL", "SECRETS_ERROR": "FAIL",
-            "CONNECTION_ERROR": "RETRY", "TIMEOUT_ERROR": "RETRY", "MEMORY_ERROR": "RETRY"}
+#: Codes of the errors that a load may raise, by their kind; others are unknown.
+ERROR_CODES = {"FileNotFoundError": "FILE_NOT_FOUND", "TimeoutError": "TIMEOUT_ERROR", "ConnectionError": "CONNECTION_ERROR", "PermissionError": "PERMISSION_ERROR",
+               "MemoryError": "MEMORY_ERROR", "ValueError": "VALIDATION_ERROR"}
 
 
 def _wanted(layers: tuple[str, ...], domains: tuple[str, ...]) -> tuple[Column, Column, Column, Column, Column]:
@@ -86,10 +86,20 @@ def message_error() -> Column:
     return F.when(F.coalesce(~F.col("bucket").rlike(BUCKET), F.lit(True)), "Invalid S3 bucket format").when(~is_curated_key(F.col("key")), curated_key_error(F.col("key"))).otherwise(rest)
 
 
-def outcome(error_code: Column) -> Column:
-    """Outcome of an attempt by its error code: SUCCESS for none or a blank one, EXCEPTION for one that isn't listed."""
-    known = F.create_map(*[F.lit(x) for kv in OUTCOMES.items() for x in kv])
-    return F.when(F.coalesce(F.trim(error_code), F.lit("")) == "", "SUCCESS").otherwise(F.coalesce(F.try_element_at(known, F.upper(F.trim(error_code))), F.lit("EXCEPTION")))
+def error_code(kind: Column) -> Column:
+    """Code of a raised error by its kind; null for none."""
+    known = F.create_map(*[F.lit(x) for kv in ERROR_CODES.items() for x in kv])
+    return F.when(kind.isNotNull(), F.coalesce(F.try_element_at(known, kind), F.lit("UNKNOWN_ERROR")))
+
+
+def outcome(error_code: Column, action: Column | None = None) -> Column:
+    """Outcome of an attempt: PARSE_ERROR for a body that isn't parsed, EXCEPTION for any raised error, else what the load answered.
+
+    Without an error and an ``action`` it is SUCCESS; an answer is SUCCESS, RETRY or any other, which fails.
+    """
+    code = F.nullif(F.upper(stripped(error_code)), F.lit(""))
+    answer = F.coalesce(action, F.lit("SUCCESS")) if action is not None else F.lit("SUCCESS")
+    return F.when(code == "PARSE_ERROR", "PARSE_ERROR").when(code.isNotNull(), "EXCEPTION").otherwise(answer)
 
 
 def ledger(rows: DataFrame, *also: Column) -> DataFrame:

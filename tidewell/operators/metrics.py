@@ -48,7 +48,7 @@ def metric_alarms(df: DataFrame, minutes: int = 5) -> DataFrame:
 
 
 def m_of_n(windows: DataFrame, periods: int, threshold: float, minutes: int = 5) -> DataFrame:
-    """Alarm per window when all of the last ``periods`` windows reach the threshold; windows without rows count as zero.
+    """Alarm per window when all of the last ``periods`` windows are above the threshold; windows without rows count as zero.
 
     ``windows(series, window_start, value)`` with the start in whole epoch seconds; the grid of each series
     spans its own first to last window.
@@ -57,7 +57,7 @@ def m_of_n(windows: DataFrame, periods: int, threshold: float, minutes: int = 5)
     grid = windows.groupBy("series").agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi")).select("series", F.explode(F.sequence("lo", "hi", F.lit(step).cast("long"))).alias("window_start"))
     full = grid.join(windows, ["series", "window_start"], "left").withColumn("value", F.coalesce("value", F.lit(0)))
     last = Window.partitionBy("series").orderBy("window_start").rowsBetween(-(periods - 1), 0)
-    return full.withColumn("alarm", F.sum((F.col("value") >= threshold).cast("int")).over(last) == periods)
+    return full.withColumn("alarm", F.sum((F.col("value") > threshold).cast("int")).over(last) == periods)
 
 
 def dead_letters(attempts: DataFrame, max_receives: int) -> DataFrame:

@@ -33,12 +33,21 @@ def bad_row(columns: list[str], nan_is_bad: bool = False) -> Column:
     return reduce(lambda a, b: a | b, checks, F.lit(False))
 
 
+def key_column(columns: list[str]) -> str | None:
+    """What a table's rows are known by."""
+    return next((c for c in ("id", "symbol") if c in columns), None)
+
+
 def duplicate_groups(df: DataFrame, by: str = "ds") -> DataFrame:
     """``ds, duplicate_key_groups``: keys (``id`` if there is one, else symbol) that occur more than once; nulls are one key.
 
+    A table with neither has no keys, and so no groups.
+
     Counts are pre-aggregated per (day, key), so a hot key is one row per task.
     """
-    key = "id" if "id" in df.columns else "symbol"
+    key = key_column(df.columns)
+    if key is None:
+        return df.groupBy(by).agg(F.lit(0).cast("long").alias("duplicate_key_groups"))
     return df.groupBy(by, key).count().groupBy(by).agg(F.count_if(F.col("count") > 1).alias("duplicate_key_groups"))
 
 
@@ -59,6 +68,22 @@ def metrics(df: DataFrame, by: str = "ds") -> DataFrame:
     return df.groupBy(by).agg(F.count("*").alias("record_count"), null_symbol.alias("null_symbol_count"), negative.alias("negative_price_count"))
 
 
+def two_decimals(x: Column) -> Column:
+    """A number from 0 up as text with two decimals, rounded by its exact binary value, ties to even.
+
+    100 times the number is split into the nearest double and what that leaves, which decides where the double
+    lies halfway between two whole numbers.
+    """
+    p = x * 100.0
+    high = x * 134217729.0 - (x * 134217729.0 - x)
+    left = (high * 100.0 - p) + (x - high) * 100.0
+    floor = F.floor(p)
+    over = p - floor
+    up = (over > 0.5) | (over == 0.5) & ((left > 0) | (left == 0) & (floor % 2 == 1))
+    cents = floor + up.cast("long")
+    return F.concat(F.call_function("div", cents, F.lit(100)).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+
+
 def verdict(m: DataFrame, gate: Gate = Gate(), key_label: str = "key") -> DataFrame:
     """``m`` (counts per day) with critical and warning counts, rate, action and ordered messages."""
     n, nulls, neg = F.col("record_count"), F.col("null_symbol_count"), F.col("negative_price_count")
@@ -66,7 +91,7 @@ def verdict(m: DataFrame, gate: Gate = Gate(), key_label: str = "key") -> DataFr
     empty = n <= 0
     critical = nulls + neg
     rate = F.when(empty, F.lit(0.0)).otherwise(critical / n * F.lit(100.0))
-    shown = F.bround(rate.cast("decimal(30,15)"), 2).cast("decimal(20,2)").cast("string")
+    shown = two_decimals(rate)
     text = lambda *parts: F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
     found = F.array_compact(F.array(
         F.when(nulls > 0, text("null symbol present (", nulls, " records)")),
@@ -88,8 +113,11 @@ def verdict(m: DataFrame, gate: Gate = Gate(), key_label: str = "key") -> DataFr
 
 def day_verdicts(df: DataFrame, gate: Gate = Gate(), by: str = "ds") -> DataFrame:
     """Verdict of each day of ``df``: counts per (day, key) first, with those of rows beside them, then per day; one scan."""
-    key = "id" if "id" in df.columns else "symbol"
+    key = key_column(df.columns)
     null_symbol, negative = _row_counts(df.columns)
+    if key is None:
+        m = metrics(df, by).withColumn("duplicate_key_groups", F.lit(0).cast("long"))
+        return verdict(m.withColumn("invalid_numeric_type_issues", F.lit(type_issues(df)).cast("long")), gate)
     keys = df.groupBy(by, key).agg(F.count("*").alias("n"), null_symbol.alias("nulls"), negative.alias("negatives"))
     m = keys.groupBy(by).agg(F.sum("n").alias("record_count"), F.sum("nulls").alias("null_symbol_count"), F.sum("negatives").alias("negative_price_count"), F.count_if(F.col("n") > 1).alias("duplicate_key_groups"))
     return verdict(m.withColumn("invalid_numeric_type_issues", F.lit(type_issues(df)).cast("long")), gate)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidewell.operators.batches import any_true, chunk, completed, counts_by, days_of, manifest_entries, manifests, merge_chunks as merged, merged_objects, only_done, progress, reconcile as reconciled
 from tidewell.operators.metrics import m_of_n
 from tidewell.operators.schema_versions import diff, previous_hash, refresh_needed
-from tidewell.plans.backfill import backfill_days, idempotent, job_arguments, normalized_request, preflight_code
+from tidewell.plans.backfill import JobSettings, backfill_days, backfill_items, idempotent, job_arguments, normalized_request, preflight_code
 from tidewell.registered.prices import CHANGES, EVENTS, PRICES
 from tidewell.registered.registry import query
 from tidewell.session import fresh_path, table
@@ -43,28 +43,39 @@ def idempotent_plan(spark, sf_dir):
 
 
 _PATH = "'market/prices/interval=1d/data_source=yahoo_finance/year=' || substr(ds,1,4) || '/month=' || substr(ds,6,2) || '/day=' || substr(ds,9,2) || '/layer='"
-_ARGS = f"{_PATH} || 'compacted' AS compacted_path, {_PATH} || 'adjusted' AS curated_path, {_PATH} || 'quarantine' AS quarantine_path, 'zstd' AS codec, 5.0E0 AS max_critical_error_rate"
+#: Arguments of a job, which is a SQL text each.
+_ARGUMENTS = {
+    "environment": "'prod'", "domain": "'market'", "table_name": "'prices'", "raw_bucket": "'raw'", "raw_prefix": "'market/prices/interval=1d/data_source=yahoo_finance/'", "compacted_bucket": "'curated'", "curated_bucket": "'curated'",
+    "curated_layer": "'adjusted'", "compacted_layer": "'merged'", "schema_fingerprint_s3_uri": "'s3://artifacts/market/prices/_schema/latest.json'", "codec": "'zstd'", "target_file_mb": "'256'", "expected_min_records": "'20'",
+    "max_critical_error_rate": "'2.5'", "file_type": "'csv'", "interval_value": "'1d'", "data_source": "'yahoo_finance'", "output_partitions": "'1'",
+    "compacted_path": f"{_PATH} || 'merged'", "curated_path": f"{_PATH} || 'adjusted'", "quarantine_path": f"{_PATH} || 'quarantine'",
+}
+_SETTINGS = JobSettings("prod", "raw", "curated", "artifacts", "merged", "20", "2.5", "0")
+_OF = (F.lit("market"), F.lit("prices"), F.lit("1d"), F.lit("yahoo_finance"), F.lit("csv"))
 
 
-def _arguments(df):
-    return job_arguments(df, F.lit("market"), F.lit("prices"), F.lit("1d"), F.lit("yahoo_finance"))
+def _args(given="TRUE"):
+    return ", ".join(f"CASE WHEN {given} THEN {sql} END AS {n}" for n, sql in _ARGUMENTS.items())
 
 
-@query(f"{DAYS} SELECT id, ds, {_ARGS} FROM x")
+@query(f"{DAYS} SELECT id, ds, {_args()} FROM x")
 def plan_rows(spark, sf_dir):
-    return _arguments(_days(spark, sf_dir))
+    return job_arguments(_days(spark, sf_dir), *_OF, _SETTINGS).withColumnRenamed("interval", "interval_value")
 
 
-@query(f"{PLAN} SELECT id, ds, proceed, code, {_ARGS}, 'on_schema_change' AS catalog_update FROM p")
+@query(f"""{PLAN} SELECT id, ds, proceed, code, CASE WHEN NOT proceed THEN 'Already processed' END AS reason, CASE WHEN NOT proceed THEN 'Curated partition already exists' END AS message,
+ CASE id % 3 WHEN 0 THEN 'on_schema_change' WHEN 1 THEN 'never' END AS catalog_update, {_args('proceed')} FROM p""")
 def backfill_plan(spark, sf_dir):
-    return _arguments(idempotent(_days(spark, sf_dir), _done(spark, sf_dir), ["ds"])).withColumn("catalog_update", F.lit("on_schema_change"))
+    """Each day of each range: its job's arguments, or why there is none; the request's policy, if it has one."""
+    policy = F.expr("CASE id % 3 WHEN 0 THEN ' on_schema_change' WHEN 1 THEN 'never' ELSE ' ' END")
+    return backfill_items(_days(spark, sf_dir), _done(spark, sf_dir), *_OF, policy, _SETTINGS).withColumnRenamed("interval", "interval_value")
 
 
 _REQUEST = ["event_id", "CASE event_id % 3 WHEN 0 THEN ' CSV ' WHEN 1 THEN '' ELSE NULL END AS file_type", "CASE WHEN event_id % 2 = 0 THEN ' prices ' ELSE '' END AS table_name",
-            "event_type AS legacy_table", "CASE WHEN event_id % 5 = 0 THEN NULL ELSE '2024-01-01' END AS range_start", "CASE WHEN event_id % 7 = 0 THEN NULL ELSE '2024-01-05' END AS range_end"]
+            "event_type AS legacy_table", "CASE WHEN event_id % 5 = 0 THEN NULL ELSE '2024-01-01' END AS range_start", "CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 11 = 0 THEN '' ELSE '2024-01-05' END AS range_end"]
 
 
-@query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'csv' ELSE 'json' END AS file_type, CASE WHEN event_id % 2 = 0 THEN 'prices' ELSE event_type END AS table_name, event_id % 5 <> 0 AND event_id % 7 <> 0 AS has_range, '.json,.csv' AS suffixes FROM events")
+@query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'csv' ELSE 'json' END AS file_type, CASE WHEN event_id % 2 = 0 THEN 'prices' ELSE event_type END AS table_name, event_id % 5 <> 0 AND event_id % 7 <> 0 AND event_id % 11 <> 0 AS has_range, '.json,.csv' AS suffixes FROM events")
 def plan_request(spark, sf_dir):
     df = table(spark, sf_dir, "events").selectExpr(*_REQUEST).withColumn("suffixes", F.array(F.lit(" .json"), F.lit(" "), F.lit(".csv ")))
     return normalized_request(df).select("event_id", "file_type", "table_name", "has_range", F.array_join("suffixes", ",").alias("suffixes"))
@@ -267,7 +278,7 @@ ALARMS = """WITH w AS (SELECT event_type AS series, CAST(floor(epoch(ts) / 21600
  f AS (SELECT g.series, g.window_start, coalesce(w.value, 0) AS value FROM g LEFT JOIN w USING (series, window_start))"""
 
 
-@query(f"{ALARMS} SELECT series, window_start, value, sum(CASE WHEN value >= 3 THEN 1 ELSE 0 END) OVER (PARTITION BY series ORDER BY window_start ROWS 2 PRECEDING) = 3 AS alarm FROM f")
+@query(f"{ALARMS} SELECT series, window_start, value, sum(CASE WHEN value > 3 THEN 1 ELSE 0 END) OVER (PARTITION BY series ORDER BY window_start ROWS 2 PRECEDING) = 3 AS alarm FROM f")
 def alarm_m_of_n(spark, sf_dir):
     start = (F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 21600) * 21600).cast("long")
     windows = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("series"), start.alias("window_start")).agg(F.count("*").alias("value"))

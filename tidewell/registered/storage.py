@@ -67,7 +67,7 @@ MANIFESTS = f"{PRICES}, o AS (SELECT ds, symbol, count(*) AS records FROM prices
 def manifest_objects(spark, sf_dir):
     path = fresh_path(spark)
     write_manifests(view(spark, sf_dir, "prices").where("symbol IS NOT NULL").groupBy("ds", "symbol").agg(F.count("*").alias("records")), path)
-    return objects_of(spark, path)
+    return objects_of(spark, path).select("ds", "symbol", "records")
 
 
 @query("SELECT l_orderkey, l_linenumber, unnest(['AAA', 'BBB']) AS symbol, unnest([l_extendedprice, l_tax]) AS close, unnest([l_quantity, NULL]) AS volume FROM lineitem")

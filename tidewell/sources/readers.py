@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.functions.scalars import normalize_symbol
+from tidewell.functions.scalars import LINE_END, normalize_symbol, stripped
 
 RAW_PRICE = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("ds", T.StringType())]
                          + [T.StructField(c, T.DoubleType()) for c in ("open", "high", "low", "close", "adjusted_close")] + [T.StructField("volume", T.LongType())])
-MANIFEST = T.StructType([T.StructField("ds", T.StringType()), T.StructField("objects_n", T.LongType()), T.StructField("records", T.LongType()), T.StructField("objects", T.ArrayType(T.StructType([
-    T.StructField("symbol", T.StringType()), T.StructField("records", T.LongType())])))])
+MANIFEST = T.StructType([T.StructField("ds", T.StringType()), T.StructField("raw_prefix", T.StringType()), T.StructField("batch_id", T.StringType()), T.StructField("objects", T.ArrayType(T.StructType([
+    T.StructField("symbol", T.StringType()), T.StructField("key", T.StringType()), T.StructField("records", T.LongType())])))])
 
 
 def read_raw(spark: SparkSession, path: str, file_type: str, schema: T.StructType = RAW_PRICE, unknown: str = "raise") -> DataFrame:
@@ -72,16 +72,44 @@ def has_rows(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """``file, place, document, error`` of the manifests in the JSON files under a path, one row each, nested folders too.
+
+    A file is one document in any layout, a list of documents, or has one on each line. ``document`` is what
+    ``MANIFEST`` names of it. A file that is none of these, and an empty one, has one row with an ``error`` and
+    no document; so has an entry of a list that isn't an object. A file is parsed as a whole, in one row.
+    """
+    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "[!_.]*").text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    lines = F.filter(F.transform(F.split("value", "\r\n|\n|\r"), stripped), lambda x: x != "")
+    by_line = (F.size(lines) > 0) & F.forall(lines, lambda x: F.startswith(x, F.lit("{")) & F.try_parse_json(x).isNotNull())
+    # Read as an array, a lone object is an array of one.
+    whole = F.from_json("value", T.ArrayType(T.StringType()), {"mode": "PERMISSIVE"})
+    ends = F.concat(F.substring(stripped(F.col("value")), 1, 1), F.right(stripped(F.col("value")), F.lit(1)))
+    entries = F.when(by_line, lines).when(F.try_parse_json("value").isNull(), None).when(ends == "{}", F.array("value")).when(ends == "[]", whole)
+    rows = files.select("file", F.posexplode_outer(entries).alias("place", "entry"), F.size(entries).alias("n"))
+    document = F.from_json("entry", MANIFEST)
+    good = F.coalesce(F.startswith(stripped(F.col("entry")), F.lit("{")), F.lit(False)) & F.try_parse_json("entry").isNotNull()
+    reason = F.when(F.col("n") == 0, None).when(F.col("entry").isNull(), "not a JSON document").when(~good, "not an object")
+    return rows.select("file", F.coalesce("place", F.lit(0)).alias("place"), F.when(good, document).alias("document"), reason.alias("error")).where("document IS NOT NULL OR error IS NOT NULL")
+
+
 def manifest_objects(spark: SparkSession, path: str) -> DataFrame:
-    """Objects of all manifests under a path, one row each; unreadable files give none."""
-    return spark.read.schema(MANIFEST).json(path).where("ds IS NOT NULL").select("ds", F.inline("objects"))
+    """``ds, symbol, key, records`` of all manifests and chunk summaries under a path, one row each; ``read_documents`` shows what gives none."""
+    return read_documents(spark, path).where("document.ds <> ''").select("document.ds", F.inline("document.objects"))
 
 
 def parse_symbols(text: Column) -> Column:
-    """Symbols of a JSON array or of lines; blank ones are dropped, order is kept."""
-    json = F.from_json(text, T.ArrayType(T.StringType()))
-    listed = F.when(F.startswith(F.ltrim(text), F.lit("[")), json).otherwise(F.split(text, "\n"))
-    return F.filter(F.transform(listed, lambda s: F.trim(s)), lambda s: s.isNotNull() & (s != ""))
+    """Symbols of a JSON array, or else of lines; blank ones are dropped, order is kept.
+
+    Of an array's members only texts and whole numbers count. A text that is no JSON array, broken JSON too,
+    is lines.
+    """
+    json = F.try_parse_json(text)
+    is_list = F.coalesce(F.startswith(F.schema_of_variant(json), F.lit("ARRAY")) & F.endswith(stripped(text), F.lit("]")), F.lit(False))
+    members = F.try_variant_get(json, "$", "array<variant>")
+    known = F.filter(members, lambda m: F.schema_of_variant(m).isin("STRING", "BIGINT") | F.schema_of_variant(m).rlike(r"\ADECIMAL\(\d+,0\)\z"))
+    listed = F.when(is_list, F.transform(known, lambda m: F.try_variant_get(m, "$", "string"))).otherwise(F.split(text, LINE_END))
+    return F.filter(F.transform(listed, stripped), lambda s: s.isNotNull() & (s != ""))
 
 
 #: The symbols of a universe that no source names.
@@ -116,8 +144,8 @@ def universe(*lists: DataFrame) -> DataFrame:
 
 
 def split_symbols(df: DataFrame, symbol: str) -> tuple[DataFrame, DataFrame]:
-    """(rows with a symbol, trimmed; rows without one)."""
-    clean = F.nullif(F.trim(F.col(symbol).cast("string")), F.lit(""))
+    """(rows with a symbol, without the white space around it; rows without one)."""
+    clean = F.nullif(stripped(F.col(symbol).cast("string")), F.lit(""))
     return df.withColumn(symbol, clean).where(F.col(symbol).isNotNull()), df.where(clean.isNull())
 
 

@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidewell.functions.scalars import filled
-from tidewell.operators.batches import completed
 from tidewell.operators.load import outcome
 from tidewell.operators.metrics import dead_letters
 from tidewell.session import fresh_path
+from tidewell.streaming.stateful import run_stateful
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,10 +18,11 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c, t in df.dtypes if t == "timestamp_ntz"})
 
 
-def drain(stream: DataFrame) -> DataFrame:
-    """Run a stream over all that is there, append to Parquet in the shared folder, and read that back."""
+def drain(stream: DataFrame, state: str | None = None) -> DataFrame:
+    """Run a stream over all that is there, append to Parquet in the shared folder, and read that back; ``state`` machines go by "clock" or "event" time."""
     spark, path = stream.sparkSession, fresh_path(stream.sparkSession)
-    query = stream.writeStream.format("parquet").option("path", f"{path}/rows").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+    writer = stream.writeStream.format("parquet").option("path", f"{path}/rows").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
+    query = run_stateful(spark, writer, ends=state == "clock") if state else writer.start()
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{path}/rows")
 
@@ -59,63 +55,9 @@ def batch_progress(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy("batch_id").agg(F.size(F.collect_set("chunk_id")).cast("long").alias("processed_chunks"))
 
 
-def completions(chunks: DataFrame, keep: str = "7 days") -> DataFrame:
-    """``batch_id, expected_chunks`` of each batch when it is complete, once.
-
-    ``chunks(batch_id, chunk_id, expected_chunks, ts)`` is a stream; a chunk that is delivered again counts
-    once. The state of a batch, which is at most its expected chunks' ids, is dropped ``keep`` after its
-    last row in event time, whether or not it was completed; rows without a batch, a chunk or an expected
-    number are left out.
-    """
-    days, unit = keep.split()
-    keep_ms = int(days) * {"days": 86_400_000, "hours": 3_600_000, "minutes": 60_000}[unit]
-
-    def update(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        seen, done, last = state.get if state.exists else ([], False, 0)
-        seen, expected = set(seen), 0
-        for f in frames:
-            last = max(last, int(f.ts.max().timestamp() * 1000))
-            if not done:
-                seen.update(f.chunk_id.tolist())
-                expected = max(expected, int(f.expected_chunks.max()))
-        if not done and len(seen) >= expected:
-            done, seen = True, set()
-            yield pd.DataFrame({"batch_id": [key[0]], "expected_chunks": [expected]})
-        state.update((sorted(seen), done, last))
-        state.setTimeoutTimestamp(max(last + keep_ms, state.getCurrentWatermarkMs() + 1))
-
-    rows = chunks.where("batch_id IS NOT NULL AND chunk_id IS NOT NULL AND expected_chunks IS NOT NULL AND ts IS NOT NULL").select(
-        F.col("batch_id").cast("long").alias("batch_id"), F.col("chunk_id").cast("long").alias("chunk_id"), F.col("expected_chunks").cast("long").alias("expected_chunks"), "ts")
-    return rows.withWatermark("ts", keep).groupBy("batch_id").applyInPandasWithState(update, "batch_id long, expected_chunks long", "seen array<long>, done boolean, last long", "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def start_payloads(changes: DataFrame, entries: DataFrame, defaults: dict[str, str]) -> DataFrame:
-    """What a completed batch starts with: its fields, tracker values before defaults, and its manifests by day.
-
-    ``entries(batch_id, ds, manifest_key, source)`` are the batch's manifests; a batch without any doesn't start.
-    """
-    done = completed(changes)
-    fields = [filled(F.col(f"meta_{n}") if f"meta_{n}" in changes.columns else F.lit(None).cast("string"), v).alias(n) for n, v in defaults.items()]
-    per_batch = entries.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("ds", "manifest_key", "source"))).alias("manifests"))
-    return done.select("batch_id", *fields).join(per_batch, "batch_id")
-
-
-def start_batches(changes: DataFrame, entries: Callable[[DataFrame], DataFrame], start: Callable[[DataFrame], None], defaults: dict[str, str], checkpoint: str) -> None:
-    """Run a stream of changes over all that is there: ``start`` gets the payloads of each micro-batch's first completions.
+def attempts_by_message(attempts: DataFrame, max_receives: int) -> DataFrame:
+    """Where the messages of a stream of attempts ``(message_id, seq, error_code)`` stand, for ``drain_complete``; see ``dead_letters``.
 
-    ``entries`` finds the manifests of a micro-batch's changes. A batch id starts at most once while its state is kept.
+    All messages stay in the state, as a complete result lists all; ``redelivery`` lets go of those that have ended.
     """
-
-    def put(batch: DataFrame, _: int) -> None:
-        start(start_payloads(batch, entries(batch), defaults))
-
-    first_starts(completed(changes)).writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-
-
-def attempts_by_message(attempts: DataFrame, max_receives: int, keep: str = "7 days") -> DataFrame:
-    """Where the messages of a stream of attempts ``(message_id, seq, error_code, ts)`` end, for ``drain_complete``; see ``dead_letters``."""
-    rows = attempts.withWatermark("ts", keep).withColumn("outcome", outcome(F.col("error_code")))
-    return dead_letters(rows, max_receives)
+    return dead_letters(attempts.withColumn("outcome", outcome(F.col("error_code"))), max_receives)
