@@ -110,8 +110,9 @@ def layer_path(domain: Column, table: Column, interval: Column, source: Column,
 
 
 def raw_key(domain: Column, table: Column, interval: Column, source: Column, ds: Column, symbol: Column, file_type: str = "json", gzip: bool = False) -> Column:
-    """Key of a symbol's raw file of a day."""
-    return _day_path(domain, table, interval, source, ds, F.concat(symbol, F.lit(f".{file_type.lower()}" + ".gz" * gzip)))
+    """Key of a symbol's raw file of a day; a blank symbol gives null."""
+    named = F.coalesce(symbol, F.lit("")) != ""
+    return F.when(named, _day_path(domain, table, interval, source, ds, F.concat(symbol, F.lit(f".{file_type.lower()}" + ".gz" * gzip))))
 
 
 def manifest_key(domain: Column, table: Column, interval: Column, source: Column, ds: Column, basename: str = "_batch", suffix: str = ".manifest.json") -> Column:

@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.query import StreamingQuery
 
 from tidewell.functions.prices import adjust
 from tidewell.operators.batches import manifests
@@ -17,6 +18,7 @@ from tidewell.operators.load import ledger
 from tidewell.operators.quality import Gate, day_verdicts, no_data, split_by_verdict
 from tidewell.operators.schema_versions import fingerprint
 from tidewell.session import settle
+from tidewell.sources.catalog import sync_table
 from tidewell.sources.readers import has_rows
 
 
@@ -81,7 +83,7 @@ def gate_and_write(df: DataFrame, root: str, gate: Gate = Gate(), fail: bool = T
 
 
 def land_raw(df: DataFrame, root: str, existing: DataFrame | None = None, file_type: str = "json", gzip: bool = False) -> None:
-    """Raw files per symbol and day, written once: pairs in ``existing(symbol, ds)`` are left alone."""
+    """Raw rows in folders of symbol and day: pairs in ``existing(symbol, ds)`` are left alone. ``write_raw_files`` writes one file for each key."""
     if existing is not None:
         df = df.join(existing.select("symbol", "ds").distinct(), ["symbol", "ds"], "left_anti")
     writer = dated(df).hint("rebalance", "symbol", "ds").write.partitionBy("year", "month", "day", "symbol").mode("append")
@@ -140,17 +142,35 @@ def write_report(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("overwrite").json(path)
 
 
-def register_table(spark: SparkSession, name: str, root: str) -> None:
-    """A catalog table over a layered root, brought up to date if it is there: new columns are added, new partitions found.
+def register_table(spark: SparkSession, name: str, root: str) -> DataFrame:
+    """A catalog table over a layered root, brought up to date by ``sync_table``; what has changed.
 
-    Quarantined rows are left out by the view ``<name>_good``.
+    Quarantined layers aren't partitions of it; the view ``<name>_good`` leaves them out of tables that have them from elsewhere.
     """
-    if not spark.catalog.tableExists(name):
-        spark.catalog.createTable(name, path=root, source="parquet")
-    else:
-        known = {c.lower() for c in spark.table(name).columns}
-        new = [f for f in spark.read.option("mergeSchema", True).parquet(root).schema.fields if f.name.lower() not in known]
-        if new:
-            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
-    spark.catalog.recoverPartitions(name)
-    spark.sql(f"CREATE OR REPLACE VIEW {name}_good AS SELECT * FROM {name} WHERE layer <> 'quarantine'")
+    changes = sync_table(spark, name, root)
+    if spark.catalog.tableExists(name):
+        spark.sql(f"CREATE OR REPLACE VIEW {name}_good AS SELECT * FROM {name} WHERE layer <> 'quarantine'")
+    return changes
+
+
+def append_once(df: DataFrame, path: str, query: str, batch_id: int) -> None:
+    """Append a micro-batch to Parquet so that a replay of it changes nothing: for ``foreachBatch``.
+
+    A batch has a folder of its own, named by query and number, which its replay writes anew; the folder's files
+    are there in whole or not at all to readers of the table, which look for the mark of its commit.
+    """
+    df.withColumns({"query": F.lit(query), "batch": F.lit(batch_id)}).write.partitionBy("query", "batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+
+
+def ledger_stream(files: DataFrame, path: str, query: str, checkpoint: str) -> StreamingQuery:
+    """Append a stream's loaded files to the ledger, each row once however often a micro-batch is run; over all that is there.
+
+    ``files`` are a ledger's rows; ``processed_at`` is the time of the write.
+    """
+
+    def put(batch: DataFrame, n: int) -> None:
+        append_once(batch.withColumn("processed_at", F.current_timestamp()), path, query, n)
+
+    started = files.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    started.awaitTermination()
+    return started
