@@ -17,6 +17,8 @@ from tidewell.llm.media import parse_matroska, sample_features, store_texts, wri
 from tidewell.llm.packing import pack, token_pieces
 from tidewell.llm.segmentation import MARK, MODEL, Lattices, _draw_other, _unseen, decode, encode, op9_segmentation, processor, sample_segmentations, sample_units
 from tidewell.llm.sharding import WALKS, _sides, shard
+from tidewell.llm.simhash import keep_one
+from tidewell.llm.similar import keep_one_similar
 from tidewell.llm.tables import forget, settle, unused
 from tidewell.llm.tokens import at_limits, byte_encoding, length_histogram, op6_token_counts, quantile_lengths, token_counts, tokenizer_path
 from tidewell.llm.toxicity import score_toxicity
@@ -263,3 +265,14 @@ def test_hot_near_copies(spark):
     rows += [(1000 + i, " ".join(f"v{rnd.randrange(9000)}" for _ in range(200))) for i in range(800)]
     kept = {r.doc_id for r in corpus_pipeline.simhash(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
     assert kept == {0} | {1000 + i for i in range(800)}
+
+
+def test_columns_with_maps(spark):
+    """Rows are told apart by all their columns, those with maps too."""
+    rows = [(1, "a b c d e f g", {"k": 1}, [{"x": "y"}]), (2, "a b c d e f g", {"k": 2}, None), (2, "a b c d e f g", {"k": 2}, None), (None, "a", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra map<string,int>, nested array<map<string,string>>")
+    for keep in (keep_one_similar, keep_one):
+        kept = keep(docs).collect()
+        assert sorted((r.doc_id is None, r.doc_id, r.extra) for r in kept) == [(False, 1, {"k": 1}), (True, None, None)]
+    packed = pack(token_pieces(docs).withColumn("extra", F.create_map(F.lit("k"), "length"))).collect()
+    assert len(packed) == 4 and all(r.extra == {"k": r.length} for r in packed)

@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidewell.llm.embeddings import MultiIndex, fit, near_vectors
+from tidewell.llm.embeddings import MultiIndex, fit, near_vectors, op10_multi_index
 
 
 def brute(rows):
@@ -41,6 +41,20 @@ def test_against_all_pairs(spark):
     assert near_vectors(df.where(F.lit(False))).count() == 0
 
 
+def test_query_on_linked_vectors(spark, tmp_path):
+    """The registered query against all pairs, on vectors of which many are linked, with hot groups and cells joined without a broadcast."""
+    rng = np.random.default_rng(10)
+    centres = rng.normal(size=(60, 24))
+    vectors = [(centres[k % 60] + rng.normal(size=24) * (0.02 if k < 400 else 0.3)).tolist() for k in range(900)] + [centres[0].tolist()] * 60
+    spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    want = brute(list(enumerate(vectors)))
+    real = sum(w[0] for w in want.values())
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in op10_multi_index(spark, str(tmp_path)).collect()}
+    assert set(got) == set(want) and all(got[i][0] <= want[i][0] for i in want) and sum(g[0] for g in got.values()) >= 0.97 * real > 3000
+    near_pairs = sum(got[i][1] == want[i][1] for i in want)
+    assert near_pairs >= 0.97 * len(want)
+
+
 def test_traversal_visits_the_nearest_cells_in_order():
     rng = np.random.default_rng(9)
     x = rng.normal(size=(200, 8))

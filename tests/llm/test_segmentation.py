@@ -1,9 +1,12 @@
 import math
+import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from tidewell.llm import segmentation
 from tidewell.llm.segmentation import MARK, MODEL, UNIT, Lattices, decode, encode, processor, sample_segmentations, segmentations
 from tidewell.llm.tokens import tokenizer_path
 
@@ -105,3 +108,18 @@ def test_lattices_built_together_and_alone():
         lo, hi = first[start], first[start + len(unit)]
         assert (piece[lo:hi] == i).all() and (target[lo:hi] == t + start).all() and np.allclose(p[lo:hi], q, rtol=1e-9)
         assert np.allclose(np.add.reduceat(q, f[:-1][: len(unit)]), 1.0)
+
+
+def test_lattices_are_bounded_in_bytes(monkeypatch):
+    """Unspaced texts: what is kept between parts stays under the bound and a part's own."""
+    rng, lattices = random.Random(3), Lattices(tokenizer_path(MODEL))
+    monkeypatch.setattr(segmentation, "MOST_BYTES", 8 << 20)
+    held = []
+    for n in range(12):
+        texts = ["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(2000)) for _ in range(8)] + ["".join(rng.choice("abcdefgh") for _ in range(2000)) for _ in range(8)]
+        segmentation.segmentations(texts, np.arange(16), 2, lattices)
+        held.append(lattices.bytes_held())
+    assert max(held) < (8 << 20) + 3 * held[0]
+    sizes = [1, 5, segmentation.TEXT_CHARS + 1, 1, 1]
+    assert list(segmentation._parts(pa.array(["x" * s for s in sizes] + [None]))) == [(0, 2), (2, 1), (3, 3)]
+    assert [n for _, n in segmentation._parts(pa.array(["a"] * 300))] == [128, 128, 44]

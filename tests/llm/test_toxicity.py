@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidewell.llm.toxicity import Scorer, Toxicity, fit, grams, op4_toxicity, sample, score_toxicity, subwords, train, words
+from tidewell.llm.toxicity import Scorer, Toxicity, fit, grams, held_out, op4_toxicity, sample, score_toxicity, subwords, train, words
 
 SMALL = Toxicity(buckets=1 << 12, epochs=40, scale=60.0)
 
@@ -106,3 +106,7 @@ def test_sample_is_bounded_and_leaves_the_held_out_fold(spark):
     assert [r[2] for r in sample(docs, labels, how=Toxicity(sample=400)).where("_id = 7").collect()] == ["a"]
     model = train(docs.limit(0), labels)
     assert model[0].sum() == 0
+    # One long text, wherever it comes in the order of hashes, leaves the others in.
+    for seed in range(4):
+        long = docs.withColumn("text", F.when(F.col("doc_id") == 11, F.repeat(F.lit("y"), 40 << 20)).otherwise(F.col("text")))
+        assert sample(long, labels.where("doc_id <> 7"), how=Toxicity(sample=400, seed=seed)).where("_id <> 11").count() == labels.where("doc_id <> 7 AND toxic IN (0, 1)").where(~held_out(F.col("doc_id"))).count() - 1

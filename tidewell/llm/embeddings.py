@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.components import components
-from tidewell.llm.tables import settle, table
+from tidewell.llm.similar import few
+from tidewell.llm.tables import forget, settle, table
 
 
 @dataclass(frozen=True)
@@ -181,20 +182,22 @@ def _links(vectors: DataFrame, total: int, how: MultiIndex) -> DataFrame:
 
     kind = vectors.schema["v"].dataType.simpleString()
     rows = settle(vectors.repartition("rep").mapInArrow(probe, f"cell int, probe boolean, rep long, m long, v {kind}"))
-    # At most codes * codes rows, the square of a parameter.
     sizes = rows.groupBy("cell").agg(F.count_if(~F.col("probe")).alias("nt"), F.count_if(F.col("probe")).alias("np")).where("nt > 0 and np > 0")
     parts = lambda n: F.ceil(F.col(n) / how.block).cast("int")
-    sizes = sizes.select("cell", parts("nt").alias("nt"), parts("np").alias("np"))
-    rows = rows.join(F.broadcast(sizes), "cell")
+    # Cells grow with the vectors: they are broadcast while they are few, and joined by cell beyond that.
+    sizes = settle(sizes.select("cell", parts("nt").alias("nt"), parts("np").alias("np")))
+    dealt = rows.join(few(sizes, sizes.count()), "cell")
     part = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    rows = rows.withColumn("tb", F.explode(F.when(F.col("probe"), every("nt")).otherwise(F.array(part("nt")))))
-    rows = rows.withColumn("pb", F.explode(F.when(F.col("probe"), F.array(part("np"))).otherwise(every("np"))))
+    dealt = dealt.withColumn("tb", F.explode(F.when(F.col("probe"), every("nt")).otherwise(F.array(part("nt")))))
+    dealt = dealt.withColumn("pb", F.explode(F.when(F.col("probe"), F.array(part("np"))).otherwise(every("np"))))
 
     def verify(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
         return _block_links(df[~df.probe], df[df.probe], key[0], books, how)
 
-    return settle(rows.select("cell", "tb", "pb", "probe", "rep", "m", "v").groupBy("cell", "tb", "pb").applyInPandas(verify, "a long, b long, n long"))
+    found = settle(dealt.select("cell", "tb", "pb", "probe", "rep", "m", "v").groupBy("cell", "tb", "pb").applyInPandas(verify, "a long, b long, n long"))
+    forget(rows, sizes)
+    return found
 
 
 def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", how: MultiIndex = MultiIndex()) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewell.llm.tables import settle, table, unused
+from tidewell.llm.tables import row_hash, settle, table, unused
 from tidewell.llm.tokens import WordTokenizer, tokenizer_path
 
 CAPACITY = 2048
@@ -171,7 +171,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, parts: int = PARTS) -> Dat
     """
     pieces = settle(pieces.drop("sequence_id", "offset"))
     part_, rank_ = unused(pieces, "part", "rank")
-    row = F.xxhash64(*pieces.columns)
+    row = row_hash(pieces)
     part = F.pmod(row, F.lit(parts)).cast("int")
     counts = sorted((r[0], r[1], r[2]) for r in pieces.groupBy("length", part.alias("part")).count().collect())
     first, totals = np.zeros((capacity + 1, parts), np.int64), {}

@@ -19,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,10 +28,12 @@ from tidewell.llm.tokens import tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
 SAMPLES = 2
-#: Sharpness of the pieces' weights; texts that are sampled at once; lattices of units that are kept; characters whose lattices are built at once.
+#: Sharpness of the pieces' weights; texts, and about how many characters of them, that are sampled at once; bytes of lattices that are
+#: kept from one such part to the next; characters whose lattices are built at once.
 ALPHA = 1.0
 TEXTS = 128
-MOST_UNITS = 200_000
+TEXT_CHARS = 1 << 20
+MOST_BYTES = 256 << 20
 MOST_CHARS = 1 << 17
 MARK = "▁"
 UNIT = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
@@ -111,7 +114,6 @@ class Lattices:
         for p, (i, w) in self.pieces.items():
             self.id[states[p]], self.weight[states[p]] = i, w
         self.byte_ids = np.array([self.bytes[x] for x in range(128)])
-        self.first, self.target, self.piece, self.p, self.cum = np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
         self.clear()
 
     @staticmethod
@@ -121,9 +123,14 @@ class Lattices:
 
     def clear(self) -> None:
         self.root = _Roots(self.add)
+        self.first, self.target, self.piece, self.p, self.cum = np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
         self.size, self.edges, self.filled = 0, 0, 1
         self.new: list[str] = []
 
+    def bytes_held(self) -> int:
+        """Bytes of the lattices, and about those of the units' names."""
+        return sum(x.nbytes for x in (self.first, self.target, self.piece, self.p, self.cum)) + 4 * self.size + 200 * len(self.root)
+
     def add(self, unit: str) -> int:
         """Node at the start of a unit's lattice, which the next ``views`` builds."""
         base = self.size
@@ -412,7 +419,7 @@ def segmentations(texts: list[str], keys: np.ndarray, k: int, lattices: Lattices
     The inclusion probability is that of the path's value being over the next one's, given that one; the
     sum of f * p / inclusion over the samples is an unbiased estimate of the mean of f.
     """
-    if len(lattices.root) > MOST_UNITS:
+    if lattices.bytes_held() > MOST_BYTES:
         lattices.clear()
     starts = [lattices.nodes(UNIT.findall(MARK + t.replace(" ", MARK)) if t else []) for t in texts]
     lattice = lattices.views()
@@ -429,6 +436,18 @@ def segmentations(texts: list[str], keys: np.ndarray, k: int, lattices: Lattices
     return out
 
 
+def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(place, number) of texts that are sampled at once: at most TEXTS, and TEXT_CHARS bytes unless one alone has more."""
+    at, held = 0, 0
+    for k, size in enumerate(pa.compute.binary_length(texts).fill_null(0).to_pylist()):
+        if k > at and (k - at == TEXTS or held + size > TEXT_CHARS):
+            yield at, k - at
+            at, held = k, 0
+        held += size
+    if at < len(texts):
+        yield at, len(texts) - at
+
+
 def _log_inclusion(x: float) -> float:
     """log(1 - exp(-exp(x))), which is x itself where exp(x) is small."""
     return x if x < -30 else 0.0 if x > 30 else math.log(-math.expm1(-math.exp(x)))
@@ -479,8 +498,8 @@ def sample_segmentations(docs: DataFrame, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp, lattices = processor(path), Lattices.load(path)
         for batch in batches:
-            for at in range(0, len(batch), TEXTS):
-                b = batch.slice(at, TEXTS)
+            for at, n in _parts(batch.column(1)):
+                b = batch.slice(at, n)
                 ids, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
                 keys = np.array([-1 if i is None else i for i in ids], np.int64)
                 rows = []

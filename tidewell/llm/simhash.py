@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.components import components
-from tidewell.llm.tables import forget, settle, table, unused
+from tidewell.llm.tables import forget, row_hash, settle, table, unused
 
 BITS = 64
 SHINGLE_WORDS = 4
@@ -196,7 +196,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
 def with_row_key(docs: DataFrame, id_col: str) -> tuple[DataFrame, list[str]]:
     """The rows with an id, with two columns by which to find each again: the id as a long, and a hash of the whole row."""
     names = unused(docs, "id", "row")
-    return docs.where(F.col(id_col).isNotNull()).withColumns({names[0]: F.col(id_col).cast("long"), names[1]: F.xxhash64(*[F.col(c) for c in docs.columns])}), names
+    return docs.where(F.col(id_col).isNotNull()).withColumns({names[0]: F.col(id_col).cast("long"), names[1]: row_hash(docs)}), names
 
 
 def rows_of(docs: DataFrame, rows: DataFrame, names: list[str], kept: DataFrame, id_col: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tidewell.session import forget, settle, table  # noqa: F401
 
@@ -17,3 +18,8 @@ def unused(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of a whole row; columns with maps, which have no hash of their own, take part as JSON."""
+    return F.xxhash64(*[F.to_json(F.struct(c)) if "map<" in t else F.col(c) for c, t in df.dtypes])

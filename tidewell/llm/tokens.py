@@ -57,8 +57,9 @@ class WordTokenizer(dict):
     def _learn(self, new: list[str]) -> None:
         ids = self.encode(" ".join(new))
         cuts = (np.flatnonzero(self.last[ids]) + 1).tolist()
-        if len(cuts) != len(new):
-            raise ValueError("words and word ends differ")
+        if len(cuts) != len(new):  # a vocabulary whose word ends aren't marked alike: word by word
+            self.update((w, self.encode(w).tobytes()) for w in new)
+            return
         raw = ids.tobytes()
         self.update(zip(new, (raw[4 * i : 4 * j] for i, j in zip([0, *cuts], cuts))))
 

@@ -37,6 +37,7 @@ class Toxicity:
     sample: int = 900
     clean_per_toxic: int = 3
     sample_bytes: int = 32 << 20
+    text_bytes: int = 32 << 10
     toxic_weight: float = 1.0
     buckets: int = 1 << 16
     dim: int = 4
@@ -194,6 +195,8 @@ class Scorer:
 def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", how: Toxicity = Toxicity()) -> DataFrame:
     """``(_id, _label, _text)`` of the bounded sample that is fitted on; see ``Toxicity``.
 
+    Texts of over ``text_bytes`` aren't learnt from, so no single one can take up the sample.
+
     Ids are chosen from the labels alone, with the larger label of an id that repeats; of an id's texts the
     first in order counts. Null ids and labels other than 0 and 1 are left out.
     """
@@ -206,7 +209,7 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text")).join(F.broadcast(chosen), "_id")
     texts = texts.groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
     so_far = Window.orderBy(order, "_id").rowsBetween(Window.unboundedPreceding, 0)
-    return texts.withColumn("_bytes", F.sum(F.octet_length("_text")).over(so_far)).where(F.col("_bytes") <= how.sample_bytes).select("_id", "_label", "_text")
+    return texts.where(F.octet_length("_text") <= how.text_bytes).withColumn("_bytes", F.sum(F.octet_length("_text")).over(so_far)).where(F.col("_bytes") <= how.sample_bytes).select("_id", "_label", "_text")
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", how: Toxicity = Toxicity()) -> tuple[np.ndarray, float]:
