@@ -122,7 +122,7 @@ def test_types_that_combine():
 def test_documents_in_any_layout(spark, tmp_path):
     one = {"ds": "2025-09-07", "batch_id": "b", "objects": [{"symbol": "A", "key": "k/A.json", "records": 2}, {"symbol": "B", "key": "k/B.json", "records": 1}]}
     two = {"ds": "2025-09-08", "raw_prefix": "p/", "objects": [{"symbol": "C", "key": "k/C.json", "records": 5}]}
-    texts = {"indented.json": json.dumps(one, indent=2), "lines.json": json.dumps(one) + "\r\n\n" + json.dumps(two) + "\n", "list.json": json.dumps([two, one, 3]), "flat.json": json.dumps([two]), "broken.json": '{"ds": "2025', "empty.json": "", "none.json": "[]", "number.json": "12",
+    texts = {"indented.json": json.dumps(one, indent=2), "lines.json": json.dumps(one) + "\r\n\n" + json.dumps(two) + "\n", "list.json": json.dumps([two, one, 3]), "flat.json": json.dumps([two]), "broken.json": '{"ds": "2025', "empty.json": " \n", "nothing.json": "", "none.json": "[]", "number.json": "12",
              "a/b/deep.json": json.dumps([{"objects": []}, {"ds": ""}], indent=1)}
     for name, text in texts.items():
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)

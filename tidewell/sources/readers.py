@@ -76,13 +76,11 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """``file, place, document, error`` of the manifests in the JSON files under a path, one row each, nested folders too.
 
     A file is one document in any layout, a list of documents, or has one on each line. ``document`` is what
-    ``MANIFEST`` names of it. A file that is none of these, and an empty one, has one row with an ``error`` and
-    no document; so has an entry of a list that isn't an object. A file is parsed as a whole, in one row.
+    ``MANIFEST`` names of it. A file that is none of these, a blank one too, has one row with an ``error`` and no
+    document; so has an entry of a list that isn't an object. Spark leaves out files without a byte. A file is
+    parsed as a whole, in one row.
     """
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="[!_.]*").select(F.col("_metadata.file_path").alias("file"), "value")
-    # The text reader has no row for a file without a byte; the listing has.
-    empty = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "[!_.]*").load(path).where("length = 0")
-    files = files.unionByName(empty.select(F.col("path").alias("file"), F.lit("").alias("value")))
     lines = F.filter(F.transform(F.split("value", "\r\n|\n|\r"), stripped), lambda x: x != "")
     by_line = (F.size(lines) > 0) & F.forall(lines, lambda x: F.startswith(x, F.lit("{")) & F.try_parse_json(x).isNotNull())
     # Read as an array, a lone object is an array of one.
