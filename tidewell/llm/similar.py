@@ -215,35 +215,48 @@ class Groups:
         forget(pairs)
 
     def follow_leaders(self, buckets: DataFrame, rounds: int, rest: bool) -> None:
-        """Connect similar texts within ``buckets`` (as ``rows`` gives them), in time linear in a bucket's rows for each round.
+        """Connect similar texts within ``buckets`` (as ``rows`` gives them, settled), in time linear in a bucket's rows for each round.
 
         Each round compares all rows outside the largest component of a bucket with one row of it, the
         leader. The ``rest`` of the pairs, those that still lie in different components, is compared at the
-        end if asked: one end of each is outside the largest component.
+        end if asked: one end of each is outside the largest component. Buckets with nothing left to compare
+        are dropped when that halves the table.
         """
-        columns, before = ["key", "node", "n", *CHECKS], math.inf
+        checks = [F.get("bits", F.lit(k)).alias(c) for k, c in enumerate(CHECKS)]
+        before, size = math.inf, math.inf
         for t in range(rounds + 1):
             rows = buckets.join(self.labels, "node")
-            parts = rows.groupBy("key", "c").agg(F.count("*").alias("k"))
-            whole = parts.groupBy("key").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("own"), F.max_by("c", F.struct("k", "c")).alias("largest"))
-            whole = settle(whole.where("all * all > own"))
-            n_rows, left = whole.agg(F.sum("all"), F.sum((F.col("all").cast("double") * F.col("all") - F.col("own")) / 2)).first()
+            # Names are hashes: with some of their bits turned, the smallest is a row at random.
+            turned = F.lit(_signed(int(_lanes(np.array([t], np.uint64), 1)[0, 0])))
+            parts = rows.groupBy("key", "c").agg(F.count("*").alias("k"), F.min(F.col("node").bitwiseXOR(turned)).alias("first"))
+            largest = F.max_by(F.struct("c", F.col("first").bitwiseXOR(turned).alias("node")), F.struct("k", "c")).alias("top")
+            whole = parts.groupBy("key").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("own"), largest)
+            whole = settle(whole.where("all * all > own").select("key", "all", "own", "top.c", "top.node"))
+            n_rows, left, further = whole.agg(F.sum("all"), F.sum((F.col("all").cast("double") * F.col("all") - F.col("own")) / 2), F.coalesce(F.sum(F.when(F.col("all") > 2, F.col("all"))), F.lit(0))).first()
             if not left:
+                forget(whole)
                 break
             last = t == rounds or 2 * left > before or rest and left <= PAIRS_A_ROW * n_rows
             before = left
-            if last and not rest:
-                break
-            rows = settle(rows.join(whole.select("key", "all", "largest"), "key"))
-            outside = rows.where("c <> largest")
             if last:
-                whole_prints = self.nodes.select("node", "bits")
-                self.join(_pair(F.lit(True), outside.join(whole_prints, "node"), rows.join(whole_prints, "node"), whole=True))
+                if rest:
+                    top = whole.select("key", F.col("c").alias("largest"))
+                    whole_prints = self.nodes.select("node", "bits")
+                    outside = rows.join(top, "key").where("c <> largest").drop("largest")
+                    self.join(_pair(F.lit(True), outside.join(whole_prints, "node"), rows.join(whole_prints, "node"), whole=True))
+                forget(whole)
                 break
-            leader = F.min_by(F.struct("node", "n", *CHECKS, "c"), F.struct(F.xxhash64("node", F.lit(t)), "node"))
-            self.join(_pair(F.lit(True), rows.where("c = largest").groupBy("key").agg(leader.alias("x")).select("key", "x.*"), outside))
+            leaders = whole.join(self.nodes, "node").select("key", "node", F.col("n").cast("int").alias("n"), *checks, "c")
+            self.join(_pair(F.lit(True), leaders, rows))
             # Two rows have been compared for good.
-            buckets = rows.where("all > 2").select(*columns)
+            if 2 * further <= size:
+                smaller = settle(buckets.join(whole.where("all > 2").select("key"), "key", "left_semi"))
+                if size < math.inf:
+                    forget(buckets)
+                buckets, size = smaller, further
+            forget(whole)
+        if size < math.inf:
+            forget(buckets)
 
 
 def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
