@@ -15,7 +15,7 @@ from tidewell.sources.catalog import combined, partition_changes, sync_table, wi
 from tidewell.sources.listing import anything, days_there, keys_there, listed, listed_partitions
 from tidewell.sources.raw_files import COLUMNS, RawFiles, write_raw_files
 from tidewell.sources.readers import manifest_objects, read_documents
-from tidewell.sources.writers import append_once, ledger_stream
+from tidewell.sources.writers import append_once, ledger_stream, register_table
 
 RAW = "symbol string, timestamp string, open double, high double, low double, close double, adjusted_close double, volume double"
 ROWS = [("A", "2025-09-07T23:59:00+00:00", 1.0, 2.0, 0.5, 1.5, None, 1234567.0), ("A", "2025-09-07T01:00:00+00:00", 1.25, 2.0, 0.5, 1.5, 1.5, 10.0), ("A", "2025-09-08T01:30:00+02:00", 9.0, None, None, None, None, None),
@@ -160,3 +160,17 @@ def test_a_killed_ledger_batch_is_written_once(spark, tmp_path):
     for _ in range(2):
         ledger_stream(files, path, "loads", f"{tmp_path}/cp")
     assert sorted(r.file_path for r in spark.read.parquet(path).collect()) == ["f1", "f2", "f3"]
+
+
+def test_layers_that_do_not_combine_are_tables_of_their_own(spark, tmp_path):
+    root, name = f"{tmp_path}/t", "split_prices"
+    try:
+        put(spark, root, "01", "adjusted", "symbol string, volume double", ("a", 1.5))
+        put(spark, root, "01", "compacted", "symbol string, volume long, n int", ("b", 1 << 53, 4))
+        put(spark, root, "01", "quarantine", "symbol string, volume double", ("q", 9.0))
+        register_table(spark, name, root)
+        register_table(spark, name, root)
+        assert {(r.symbol, r.volume, r.n, r.layer) for r in spark.table(f"{name}_good").collect()} == {("a", 1.5, None, "adjusted"), ("b", float(1 << 53), 4, "compacted")}
+    finally:
+        for x in (f"VIEW IF EXISTS {name}_good", f"TABLE IF EXISTS {name}_adjusted", f"TABLE IF EXISTS {name}_compacted"):
+            spark.sql(f"DROP {x}")

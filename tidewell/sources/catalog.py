@@ -13,6 +13,8 @@ from tidewell.sources.listing import PARTS, listed_partitions
 
 #: Partitions that one statement adds or drops, and that one schema is read of.
 BATCH = 500
+#: Quarantined ones too.
+ALL_LAYERS = ("*",)
 #: Types that a wider one holds, in the order of their width.
 _WIDER = (("tinyint", "smallint", "int", "bigint"), ("float", "double"), ("int", "double"), ("smallint", "double"), ("tinyint", "double"), ("date", "timestamp_ntz"))
 
@@ -45,6 +47,14 @@ def combined(known: T.StructType, found: T.StructType) -> T.StructType:
     return T.StructType(list(out.values()))
 
 
+def shown_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that a view shows of both: the wider one, double for other numbers, text for what has nothing in common."""
+    try:
+        return wider(a, b)
+    except ValueError:
+        return T.DoubleType() if isinstance(a, T.NumericType) and isinstance(b, T.NumericType) else T.StringType()
+
+
 def _batches(rows: DataFrame) -> Iterator[list]:
     at = rows.toLocalIterator()
     while batch := list(islice(at, BATCH)):
@@ -55,13 +65,18 @@ def _spec(row, parts: tuple[str, ...]) -> str:
     return ", ".join(f"{p}='{row[p]}'" for p in parts)
 
 
-def partition_changes(spark: SparkSession, name: str, root: str, parts: tuple[str, ...] = PARTS, hidden: tuple[str, ...] = ("quarantine",)) -> DataFrame:
+def _of_layers(rows: DataFrame, parts: tuple[str, ...], layers: tuple[str, ...]) -> DataFrame:
+    if "layer" not in parts or layers == ALL_LAYERS:
+        return rows
+    return rows.where(F.col("layer").isin(*layers) if layers else F.col("layer") != "quarantine")
+
+
+def partition_changes(spark: SparkSession, name: str, root: str, parts: tuple[str, ...] = PARTS, layers: tuple[str, ...] = ()) -> DataFrame:
     """``parts, change``: partitions with files that the table doesn't know (added), and known ones without files (deleted).
 
-    From the listing and the catalog alone; hidden layers are never the table's.
+    From the listing and the catalog alone, of some layers or of all but the quarantined one.
     """
-    there = listed_partitions(spark, root, parts)
-    there = there.where(~F.col("layer").isin(*hidden)) if "layer" in parts else there
+    there = _of_layers(listed_partitions(spark, root, parts), parts, layers)
     known = spark.sql(f"SHOW PARTITIONS {name}").select(*[F.regexp_extract("partition", rf"(?:\A|/){p}=([^/]*)", 1).alias(p) for p in parts])
     both = there.select(*parts, F.lit(True).alias("_there")).join(known.withColumn("_known", F.lit(True)), list(parts), "full_outer")
     change = F.when(F.col("_known").isNull(), "added").when(F.col("_there").isNull(), "deleted")
@@ -93,7 +108,7 @@ def _alter(spark: SparkSession, name: str, verb: str, rows: DataFrame, parts: tu
         spark.sql(f"ALTER TABLE {name} {verb} " + glue.join(f"PARTITION ({_spec(r, parts)})" for r in batch))
 
 
-def sync_table(spark: SparkSession, name: str, root: str, parts: tuple[str, ...] = PARTS, drop_deleted: bool = False) -> DataFrame:
+def sync_table(spark: SparkSession, name: str, root: str, parts: tuple[str, ...] = PARTS, drop_deleted: bool = False, layers: tuple[str, ...] = ()) -> DataFrame:
     """Bring a catalog table over a layered root up to date; ``parts, change`` of what has changed, as a settled table.
 
     New partitions are added, and with them new columns and wider types; columns that can't be combined raise
@@ -106,11 +121,10 @@ def sync_table(spark: SparkSession, name: str, root: str, parts: tuple[str, ...]
 
     exists = spark.catalog.tableExists(name)
     if not exists:
-        first = listed_partitions(spark, root, parts)
-        first = first.where("layer <> 'quarantine'") if "layer" in parts else first
+        first = _of_layers(listed_partitions(spark, root, parts), parts, layers)
         changes = settle(first.select(*parts, F.lit("added").alias("change")))
     else:
-        changes = settle(partition_changes(spark, name, root, parts))
+        changes = settle(partition_changes(spark, name, root, parts, layers))
     added = changes.where("change = 'added'").select(*parts)
     own = T.StructType([f for f in spark.table(name).schema.fields if f.name not in parts]) if exists else T.StructType()
     schema = own

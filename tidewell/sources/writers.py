@@ -18,7 +18,8 @@ from tidewell.operators.load import ledger
 from tidewell.operators.quality import Gate, day_verdicts, no_data, split_by_verdict
 from tidewell.operators.schema_versions import fingerprint
 from tidewell.session import settle
-from tidewell.sources.catalog import sync_table
+from tidewell.sources.catalog import ALL_LAYERS, shown_type, sync_table
+from tidewell.sources.listing import listed_partitions
 from tidewell.sources.readers import has_rows
 
 
@@ -143,13 +144,26 @@ def write_report(report: DataFrame, path: str) -> None:
 
 
 def register_table(spark: SparkSession, name: str, root: str) -> DataFrame:
-    """A catalog table over a layered root, brought up to date by ``sync_table``; what has changed.
+    """Catalog tables over a layered root, brought up to date by ``sync_table``; what has changed.
 
-    Quarantined layers aren't partitions of it; the view ``<name>_good`` leaves them out of tables that have them from elsewhere.
+    All layers are one table, ``name``. Where a layer's columns can't be combined with the others', each layer
+    but the quarantined one is a table of its own, ``<name>_<layer>``. The view ``<name>_good`` has the rows of
+    all that aren't quarantined, with columns cast to a type that holds both.
     """
-    changes = sync_table(spark, name, root)
-    if spark.catalog.tableExists(name):
-        spark.sql(f"CREATE OR REPLACE VIEW {name}_good AS SELECT * FROM {name} WHERE layer <> 'quarantine'")
+    try:
+        changes = sync_table(spark, name, root, layers=ALL_LAYERS)
+        tables = [name] if spark.catalog.tableExists(name) else []
+    except ValueError:
+        layers = sorted(r.layer for r in listed_partitions(spark, root).select("layer").distinct().collect() if r.layer != "quarantine")
+        tables = [f"{name}_{layer}" for layer in layers]
+        changes = reduce(DataFrame.unionByName, [sync_table(spark, t, root, layers=(layer,)) for t, layer in zip(tables, layers)])
+    if tables:
+        kinds: dict[str, T.DataType] = {}
+        for t in tables:
+            for f in spark.table(t).schema.fields:
+                kinds[f.name] = shown_type(kinds.get(f.name, f.dataType), f.dataType)
+        cast = lambda t, c: f"CAST({f'`{c}`' if c in spark.table(t).columns else 'NULL'} AS {kinds[c].simpleString()}) AS `{c}`"
+        spark.sql(f"CREATE OR REPLACE VIEW {name}_good AS " + " UNION ALL ".join(f"SELECT {', '.join(cast(t, c) for c in kinds)} FROM {t} WHERE layer <> 'quarantine'" for t in tables))
     return changes
 
 
