@@ -87,12 +87,14 @@ class BatchStarts(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         # Manifests first, so that a batch starts with all that came with its completion.
         rows = sorted(rows, key=lambda r: ("manifest", "complete", "started", "failed").index(r.kind))
-        phase, attempt, fields = self.phase.get() if self.phase.exists() else ("idle", 0, None)
-        told, failed = None, False
+        known = self.phase.exists()
+        phase, attempt, fields = self.phase.get() if known else ("idle", 0, None)
+        told, failed, came = None, False, set()
         for r in rows:
             if r.kind == "manifest":
-                if not self.manifests.containsKey((r.ds,)):
+                if r.ds not in came and not (known and self.manifests.containsKey((r.ds,))):
                     self.manifests.updateValue((r.ds,), (r.manifest_key, r.source))
+                came.add(r.ds)
             elif r.kind == "complete":
                 told = told or dict(r.fields)
             elif phase == "starting":
@@ -110,6 +112,8 @@ class BatchStarts(StatefulProcessor):
             self.phase.update(("failed", attempt, fields))
         elif phase == "waiting":
             yield from self._start(key[0], attempt, fields)
+        elif not known:
+            self.phase.update(("idle", 0, None))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         phase, attempt, fields = self.phase.get() if self.phase.exists() else ("idle", 0, None)
