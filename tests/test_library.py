@@ -8,9 +8,10 @@ from tidewell.functions.keys import curated_key_error, is_curated_key, layer_pat
 from tidewell.operators.batches import chunk, manifest_documents, manifest_entries, merged_objects
 from tidewell.operators.load import is_uuid, load_gate, load_messages, outcome, passes
 from tidewell.operators.metrics import error_counts, normalized_errors
-from tidewell.operators.quality import Gate, day_verdicts, no_data, row_contract, rule_report, rules_for, verdict
+from tidewell.operators.quality import Gate, day_verdicts, no_data, row_contract, rule_report, rules_for, verdict, with_layer
 from tidewell.sources.readers import first_symbols, listed_objects, raw_location, read_day, read_layers
-from tidewell.sources.writers import append_ledger, append_version, compact, gate_and_write, register_table, write_layer, write_manifest_documents, write_messages
+from tidewell.sources.writers import append_ledger, append_version, compact, gate_and_write, register_table, report_by_layer, write_layer, write_manifest_documents, write_messages
+from tidewell.streaming.streams import land_intake, landed_intake
 
 PRICE = "symbol string, ds string, open double, high double, low double, close double, adjusted_close double, volume long"
 
@@ -195,3 +196,19 @@ def feed(spark, path, schema, *batches):
 
 def at(day, hour=0):
     return dt.datetime(2024, 1, day, hour, tzinfo=dt.timezone.utc)
+
+
+def test_intake_in_one_pass(spark, tmp_path):
+    rows = feed(spark, f"{tmp_path}/in", "id long, body string", [(1, '{"kind": "a", "user": 1}'), (2, "{broken"), (3, '{"user": 2}')], [(4, None), (5, '{"kind": "b"}')])
+    query = land_intake(rows, "kind string, user long", f"{tmp_path}/rows", f"{tmp_path}/cp")
+    good, bad = landed_intake(spark, f"{tmp_path}/rows", "kind string, user long")
+    assert sorted(map(tuple, good.collect())) == [(1, "a", 1), (5, "b", None)] and sorted(r.id for r in bad.collect()) == [2, 3, 4]
+    seen = [p["observedMetrics"]["intake"] for p in query.recentProgress if "intake" in p["observedMetrics"]]
+    assert [(m["accepted"], m["rejected"]) for m in seen] == [(1, 2), (1, 1)]
+    assert query._jsq.explainInternal(True).count("FileScan") <= 1
+
+
+def test_report_of_layers_in_one_pass(spark):
+    df = spark.createDataFrame([("2024-01-01", "a"), ("2024-01-01", None), ("2024-01-02", "b"), (None, "c")], "ds string, symbol string")
+    report = report_by_layer(with_layer(df, day_verdicts(df)), ("adjusted", "quarantine", "compacted"))
+    assert sorted(map(tuple, report.collect())) == [("adjusted", 2, 1, "2024-01-02", "2024-01-02"), ("compacted", 0, 0, None, None), ("quarantine", 2, 1, "2024-01-01", "2024-01-01")]

@@ -136,6 +136,12 @@ def split_by_verdict(df: DataFrame, verdicts: DataFrame, by: str = "ds") -> tupl
     return df.join(failing, same, "left_anti"), df.join(failing, same, "left_semi")
 
 
+def with_layer(df: DataFrame, verdicts: DataFrame, by: str = "ds") -> DataFrame:
+    """``df`` with ``layer``: quarantine for the rows of the days that don't pass, else adjusted."""
+    failing = verdicts.where("action = 'quarantine'").select(F.col(by).alias("_day"), F.lit("quarantine").alias("_layer"))
+    return df.join(failing, F.col(by).eqNullSafe(F.col("_day")), "left").withColumn("layer", F.coalesce("_layer", F.lit("adjusted"))).drop("_day", "_layer")
+
+
 def gate_rows(df: DataFrame, gate: Gate = Gate(), by: str = "ds") -> tuple[DataFrame, DataFrame]:
     """(rows of the days that pass, rows of the days that don't). Only the rate decides, so keys aren't counted."""
     m = metrics(df, by).withColumns({"duplicate_key_groups": F.lit(0).cast("long"), "invalid_numeric_type_issues": F.lit(0).cast("long")})

@@ -9,10 +9,10 @@ from tidewell.registered.prices import ADJUSTED, OHL, PRICES, VOLUME
 from tidewell.registered.quality import GATE, METRICS
 from tidewell.registered.registry import query
 from tidewell.functions.prices import adjust
-from tidewell.operators.quality import gate_rows
-from tidewell.session import fresh_path, table
+from tidewell.operators.quality import day_verdicts, with_layer
+from tidewell.session import fresh_path, settle, table
 from tidewell.sources.readers import RAW_PRICE, manifest_objects as objects_of, read_day, read_layers, read_raw, wide_to_long as unpivoted
-from tidewell.sources.writers import compact, run_report as report_of, write_layer, write_manifests
+from tidewell.sources.writers import compact, report_by_layer, write_layer, write_manifests
 from tidewell.views import view
 
 _COLUMNS = "symbol, ds, open, high, low, close, adjusted_close, volume"
@@ -87,8 +87,6 @@ def load_ledger(spark, sf_dir):
 
 @query(f"{METRICS} SELECT action AS layer, count(*) AS days, sum(record_count)::BIGINT AS records, min(ds) AS first_ds, max(ds) AS last_ds FROM (SELECT *, CASE WHEN rate > {GATE.max_critical_rate} THEN 'quarantine' ELSE 'adjusted' END AS action FROM v) GROUP BY 1")
 def pipeline_summary(spark, sf_dir):
-    from tidewell.operators.quality import day_verdicts
-
     layer = F.when(F.col("action") == "quarantine", "quarantine").otherwise("adjusted")
     return day_verdicts(view(spark, sf_dir, "prices"), GATE).groupBy(layer.alias("layer")).agg(
         F.count("*").alias("days"), F.sum("record_count").alias("records"), F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds"))
@@ -98,5 +96,5 @@ def pipeline_summary(spark, sf_dir):
  SELECT l.layer, count(r.ds) AS records, count(DISTINCT r.ds) AS days, min(r.ds) AS first_ds, max(r.ds) AS last_ds
  FROM (VALUES ('adjusted', FALSE), ('quarantine', TRUE)) l(layer, bad) LEFT JOIN r ON r.bad = l.bad GROUP BY 1""")
 def run_report(spark, sf_dir):
-    good, bad = gate_rows(view(spark, sf_dir, "prices"), GATE)
-    return report_of({"adjusted": good, "quarantine": bad})
+    prices = view(spark, sf_dir, "prices")
+    return report_by_layer(with_layer(prices, settle(day_verdicts(prices, GATE))), ("adjusted", "quarantine"))

@@ -8,9 +8,9 @@ from tidewell.operators.metrics import dead_letters, metric_alarms, windowed
 from tidewell.registered.load import GATED, LAYERS
 from tidewell.registered.prices import CHANGES
 from tidewell.registered.registry import query
-from tidewell.session import table
+from tidewell.session import fresh_path, table
 from tidewell.streaming.stateful import batch_starts, completions, redelivery, stream_m_of_n
-from tidewell.streaming.streams import attempts_by_message, batch_progress, drain, drain_complete, first_starts, intake, table_stream
+from tidewell.streaming.streams import attempts_by_message, batch_progress, drain, drain_complete, first_starts, intake, land_intake, landed_intake, table_stream
 from tidewell.views import VIEWS, view, view_sql
 
 
@@ -36,6 +36,16 @@ def stream_intake_bad(spark, sf_dir):
     return drain(_messages(spark, sf_dir)[1])
 
 
+@query("SELECT event_id AS id, event_id % 9 <> 0 AS accepted, CASE WHEN event_id % 9 <> 0 THEN event_type END AS kind, CASE WHEN event_id % 9 = 0 THEN concat('{\"kind\": ', CAST(user_id AS STRING)) END AS body FROM events")
+def stream_intake_once(spark, sf_dir):
+    """Parsed bodies and rejects of one pass."""
+    path = fresh_path(spark)
+    land_intake(table_stream(spark, sf_dir, "events").selectExpr("event_id AS id", _BODY), "kind string, user long", f"{path}/rows", f"{path}/checkpoint")
+    good, bad = landed_intake(spark, f"{path}/rows", "kind string, user long")
+    none = F.lit(None).cast("string")
+    return good.select("id", F.lit(True).alias("accepted"), "kind", none.alias("body")).unionByName(bad.select("id", F.lit(False).alias("accepted"), none.alias("kind"), "body"))
+
+
 DONE = f"{CHANGES}, c AS (SELECT * FROM batch_changes WHERE change = 'MODIFY' AND lower(new_status) = 'complete' AND lower(old_status) <> 'complete' AND run_id IS NULL)"
 
 

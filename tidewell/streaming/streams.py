@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from tidewell.operators.load import outcome
 from tidewell.operators.metrics import dead_letters
@@ -45,6 +46,27 @@ def intake(messages: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
     return parsed.where(good).select("id", "m.*"), parsed.where(~good).select("id", "body")
 
 
+def land_intake(messages: DataFrame, schema: str, path: str, checkpoint: str) -> StreamingQuery:
+    """Write parsed bodies and rejects of ``messages(id, body)`` in one pass, and count both on the way; over all that is there.
+
+    A row is parsed once and goes to the folder of what it is; ``landed_intake`` reads them. The query's progress
+    has the counts of each micro-batch as the observed metrics ``intake``.
+    """
+    parsed = messages.withColumn("m", F.from_json("body", schema, {"mode": "PERMISSIVE"}))
+    good = F.col("m").isNotNull() & F.col("m.kind").isNotNull()
+    rows = parsed.select("id", F.when(good, F.col("m")).alias("m"), F.when(~good, F.col("body")).alias("body"), good.alias("accepted"))
+    rows = rows.observe("intake", F.count_if(F.col("accepted")).alias("accepted"), F.count_if(~F.col("accepted")).alias("rejected"))
+    query = rows.writeStream.format("parquet").partitionBy("accepted").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def landed_intake(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(parsed bodies, rejected rows) that ``land_intake`` has written."""
+    rows = spark.read.schema(f"id long, m struct<{schema.replace(' ', ':').replace(',:', ',')}>, body string, accepted boolean").parquet(path)
+    return rows.where("accepted").select("id", "m.*"), rows.where("NOT accepted").select("id", "body")
+
+
 def first_starts(changes: DataFrame, delay: str = "7 days") -> DataFrame:
     """At most one start per batch id within the watermark, which is how long its state is kept; a checkpoint makes replays safe."""
     return changes.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["batch_id"])
