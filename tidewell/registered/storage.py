@@ -10,7 +10,9 @@ from tidewell.registered.quality import GATE, METRICS
 from tidewell.registered.registry import query
 from tidewell.functions.prices import adjust
 from tidewell.operators.quality import day_verdicts, with_layer
+from tidewell.operators.batches import only_done
 from tidewell.session import fresh_path, settle, table
+from tidewell.sources.listing import listed_partitions
 from tidewell.sources.readers import RAW_PRICE, manifest_objects as objects_of, read_day, read_layers, read_raw, wide_to_long as unpivoted
 from tidewell.sources.writers import compact, report_by_layer, write_layer, write_manifests
 from tidewell.views import view
@@ -60,6 +62,16 @@ def partition_pruned_scan(spark, sf_dir):
     return read_day(spark, path, "1995-06-01", layer="adjusted").select("symbol", F.col("day_of").alias("ds"), "close")
 
 
+@query(f"{PRICES} SELECT ds, 'adjusted' AS layer, count(*) AS n FROM prices GROUP BY ds")
+def listed_days(spark, sf_dir):
+    """The days of a written layer by its listing, each with its rows: those of days that aren't listed would be missing."""
+    path = fresh_path(spark)
+    prices = view(spark, sf_dir, "prices")
+    write_layer(prices.select("symbol", "ds", F.col("ds").alias("day_of"), "close"), path, "adjusted")
+    there = listed_partitions(spark, path).where("files > 0 AND bytes > 0").select("ds", "layer")
+    return only_done(prices, there).groupBy("ds").count().withColumnRenamed("count", "n").join(there, "ds").select("ds", "layer", "n")
+
+
 MANIFESTS = f"{PRICES}, o AS (SELECT ds, symbol, count(*) AS records FROM prices WHERE symbol IS NOT NULL GROUP BY ALL) SELECT ds, symbol, records FROM o"
 
 
