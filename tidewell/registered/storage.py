@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewell.operators.load import ledger
-from tidewell.registered.prices import ADJUSTED, OHL, PRICES, VOLUME
+from tidewell.registered.prices import OHL, PRICES, VOLUME
 from tidewell.registered.quality import GATE, METRICS
 from tidewell.registered.registry import query
 from tidewell.functions.prices import adjust

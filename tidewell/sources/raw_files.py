@@ -10,15 +10,17 @@ import gzip
 import json
 import uuid
 from collections.abc import Iterator
+from contextlib import ExitStack
 from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from tidewell.functions.keys import raw_key
+from tidewell.session import settle
 from tidewell.sources.listing import listed
 
 #: A raw record's columns in order.
@@ -52,32 +54,22 @@ class RawFilesWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, root = place(self.root)
-        folder, files, out, key, skip = f"{root}/{self.staging}/{uuid.uuid4().hex}", [], None, None, False
-        try:
+        folder, files, key, out = f"{root}/{self.staging}/{uuid.uuid4().hex}", [], None, None
+        with ExitStack() as open_file:
             for batch in iterator:
                 for record in batch.to_pylist():
                     if record["key"] != key:
-                        if out:
-                            out.close()
-                            out = None
-                        key = record["key"]
-                        skip = fs.get_file_info(f"{root}/{key}").type != pa.fs.FileType.NotFound
-                        if not skip:
-                            staged = f"{folder}/{len(files)}"
+                        open_file.close()
+                        key, out = record["key"], None
+                        if fs.get_file_info(f"{root}/{key}").type == pa.fs.FileType.NotFound:
+                            files.append((f"{folder}/{len(files)}", key))
                             fs.create_dir(folder, recursive=True)
-                            stream = fs.open_output_stream(staged, compression=None)
-                            out = gzip.GzipFile(fileobj=stream, mode="wb", mtime=0) if self.gzip else stream
-                            self.stream = stream
-                            files.append((staged, key))
+                            out = open_file.enter_context(fs.open_output_stream(files[-1][0], compression=None))
+                            out = open_file.enter_context(gzip.GzipFile(fileobj=out, mode="wb", mtime=0)) if self.gzip else out
                             if self.kind == "csv":
                                 out.write((",".join(COLUMNS) + "\n").encode())
-                    if not skip:
+                    if out:
                         out.write(_line(record, self.kind).encode())
-                if self.gzip and out:
-                    out.flush()
-        finally:
-            if out:
-                out.close()
         return Written(files)
 
     def commit(self, messages: list[Written | None]) -> None:
@@ -126,9 +118,7 @@ def write_raw_files(df: DataFrame, root: str, domain: str, table_name: str, inte
     Records of a file are in the order of their times. The keys that exist are found by listing the store, once,
     before anything is written; a key that another run writes meanwhile is left alone too. A failed run leaves no file.
     """
-    from tidewell.session import settle
-
-    spark: SparkSession = df.sparkSession
+    spark = df.sparkSession
     lit = F.lit
     rows = with_raw_key(df, lit(domain), lit(table_name), lit(interval), lit(source), file_type, gzip)
     there = listed(spark, root).select(F.col("key"))

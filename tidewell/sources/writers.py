@@ -133,14 +133,8 @@ def append_version(schema: T.StructType, table_name: str, path: str, spark: Spar
     return version
 
 
-def run_report(layers: dict[str, DataFrame]) -> DataFrame:
-    """``layer, records, days, first_ds, last_ds`` of each layer, one aggregate each; a layer without rows has zero records."""
-    one = lambda name, df: df.agg(F.lit(name).alias("layer"), F.count("*").alias("records"), F.count_distinct("ds").alias("days"), F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds"))
-    return reduce(DataFrame.unionByName, [one(n, df) for n, df in layers.items()])
-
-
 def report_by_layer(rows: DataFrame, layers: tuple[str, ...]) -> DataFrame:
-    """``run_report`` of rows that say their ``layer``, from one pass over them."""
+    """``layer, records, days, first_ds, last_ds`` of rows that say their ``layer``, from one pass over them; a layer without rows has zero records."""
     counted = rows.groupBy("layer").agg(F.count("*").alias("records"), F.count_distinct("ds").alias("days"), F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds"))
     names = rows.sparkSession.createDataFrame([(x,) for x in layers], "layer string")
     return names.join(counted, "layer", "left").select("layer", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("records", "days")], "first_ds", "last_ds")
