@@ -92,3 +92,13 @@ def test_status_texts(spark):
         "Pipeline: p\nDomain: d\nTable: t\nStatus: SUCCEEDED\nEnvironment: e\nTimestamp: t\n\nSuccess Details:\n  Records Processed: N/A\n  Output Location: l")
     assert text(status=lit("RUNNING"), error_type=lit("x"), timestamp=lit("t")).endswith("Status: RUNNING\nEnvironment: Unknown\nTimestamp: t")
     assert spark.range(1).select(status_subject(none, none, lit("t"), none)).first()[0] == "❓ Pipeline UNKNOWN - Unknown/t (Unknown)"
+
+
+def test_the_entry_needs_no_session():
+    """Queries are listed by a process that has none."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as e; assert len(e.queries()) >= len(e.oracle_sql()) > 80"
+    subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[1], check=True, timeout=120)

@@ -51,7 +51,10 @@ _ARGUMENTS = {
     "compacted_path": f"{_PATH} || 'merged'", "curated_path": f"{_PATH} || 'adjusted'", "quarantine_path": f"{_PATH} || 'quarantine'",
 }
 _SETTINGS = JobSettings("prod", "raw", "curated", "artifacts", "merged", "20", "2.5", "0")
-_OF = (F.lit("market"), F.lit("prices"), F.lit("1d"), F.lit("yahoo_finance"), F.lit("csv"))
+
+
+def _of():
+    return [F.lit(x) for x in ("market", "prices", "1d", "yahoo_finance", "csv")]
 
 
 def _args(given="TRUE"):
@@ -60,7 +63,7 @@ def _args(given="TRUE"):
 
 @query(f"{DAYS} SELECT id, ds, {_args()} FROM x")
 def plan_rows(spark, sf_dir):
-    return job_arguments(_days(spark, sf_dir), *_OF, _SETTINGS).withColumnRenamed("interval", "interval_value")
+    return job_arguments(_days(spark, sf_dir), *_of(), _SETTINGS).withColumnRenamed("interval", "interval_value")
 
 
 @query(f"""{PLAN} SELECT id, ds, proceed, code, CASE WHEN NOT proceed THEN 'Already processed' END AS reason, CASE WHEN NOT proceed THEN 'Curated partition already exists' END AS message,
@@ -68,7 +71,7 @@ def plan_rows(spark, sf_dir):
 def backfill_plan(spark, sf_dir):
     """Each day of each range: its job's arguments, or why there is none; the request's policy, if it has one."""
     policy = F.expr("CASE id % 3 WHEN 0 THEN ' on_schema_change' WHEN 1 THEN 'never' ELSE ' ' END")
-    return backfill_items(_days(spark, sf_dir), _done(spark, sf_dir), *_OF, policy, _SETTINGS).withColumnRenamed("interval", "interval_value")
+    return backfill_items(_days(spark, sf_dir), _done(spark, sf_dir), *_of(), policy, _SETTINGS).withColumnRenamed("interval", "interval_value")
 
 
 _REQUEST = ["event_id", "CASE event_id % 3 WHEN 0 THEN ' CSV ' WHEN 1 THEN '' ELSE NULL END AS file_type", "CASE WHEN event_id % 2 = 0 THEN ' prices ' ELSE '' END AS table_name",
