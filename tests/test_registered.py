@@ -1,8 +1,14 @@
 """Every registered query of the library against its SQL in DuckDB."""
 
+import builtins
+import dis
+import pkgutil
+from importlib import import_module
+
 import duckdb
 import pytest
 
+import tidewell
 from tidewell.catalog import ORACLE_SQL, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -20,6 +26,20 @@ def _shown(v):
     return f"{v:.10g}" if isinstance(v, float) else str(v)
 
 
+def _unknown(code, known):
+    names = {i.argval for i in dis.get_instructions(code) if i.opname in ("LOAD_GLOBAL", "LOAD_NAME")} - set(known) - set(dir(builtins))
+    return names.union(*(_unknown(c, known) for c in code.co_consts if hasattr(c, "co_code")))
+
+
+@pytest.mark.parametrize("module", sorted(m.name for m in pkgutil.walk_packages(tidewell.__path__, "tidewell.") if not m.ispkg))
+def test_modules_know_their_names(module):
+    """No function uses a global name that its module doesn't have."""
+    known = vars(import_module(module))
+    functions = [f for f in known.values() if getattr(f, "__module__", None) == module]
+    codes = [f.__code__ for f in functions if hasattr(f, "__code__")] + [f.__code__ for c in functions if isinstance(c, type) for f in vars(c).values() if hasattr(f, "__code__")]
+    assert not set().union(*(_unknown(c, known) for c in codes))
+
+
 def test_all_have_sql():
     assert set(QUERIES) == set(ORACLE_SQL)
 

@@ -9,7 +9,7 @@ from tidewell.registered.prices import OHL, PRICES, VOLUME
 from tidewell.registered.quality import GATE, METRICS
 from tidewell.registered.registry import query
 from tidewell.functions.prices import adjust
-from tidewell.operators.quality import day_verdicts, with_layer
+from tidewell.operators.quality import day_verdicts, gate_rows, with_layer
 from tidewell.operators.batches import only_done
 from tidewell.session import fresh_path, settle, table
 from tidewell.sources.listing import listed_partitions
