@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_library import at, feed
+from tidewell.catalog import QUERIES
 from tidewell.operators.load import error_code, outcome
 from tidewell.operators.metrics import m_of_n
 from tidewell.streaming.stateful import batch_starts, completions, redelivery, run_stateful, start_batches, stream_m_of_n
+from tidewell.streaming.streams import attempts_by_message
 
 CHANGE = "batch_id string, change string, new_status string, old_status string, run_id string, meta_domain string"
 MANIFEST = "batch_id string, ds string, manifest_key string, source string"
@@ -150,6 +152,17 @@ def test_outcomes_and_codes(spark):
     assert [tuple(r) for r in got] == [("FILE_NOT_FOUND", "EXCEPTION"), ("UNKNOWN_ERROR", "EXCEPTION"), (None, "SUCCESS"), (None, "RETRY"), (None, "FAIL"), (None, "PARSE_ERROR")]
 
 
+def test_answers_of_loads_stand_as_they_are(spark):
+    rows = [("again", 1, " ", "RETRY"), ("failed", 1, None, "FAIL"), ("failed", 2, "", "FAIL"), ("done", 1, "UNHEARD_OF", None), ("done", 2, None, None), ("raised", 1, "TIMEOUT_ERROR", "RETRY"), ("unread", 1, "PARSE_ERROR", None)]
+    got = attempts_by_message(spark.createDataFrame(rows, "message_id string, seq long, error_code string, action string"), 1).collect()
+    assert {tuple(r) for r in got} == {("again", 1, "RETRY", "RETRY"), ("failed", 2, "FAIL", "DLQ"), ("done", 2, "SUCCESS", "DONE"), ("raised", 1, "EXCEPTION", "RETRY"), ("unread", 1, "PARSE_ERROR", "RETRY")}
+
+
+def test_dead_letter_query_has_every_outcome(spark, sf_dir):
+    got = {r.last_outcome for r in QUERIES["stream_dead_letter"](spark, sf_dir).select("last_outcome").distinct().collect()}
+    assert got == {"SUCCESS", "FAIL", "RETRY", "PARSE_ERROR", "EXCEPTION"}
+
+
 def test_m_of_n_of_a_stream_equals_the_batch(spark, tmp_path):
     rows = [("a", 0, 3.0), ("a", 300, 101.0), ("a", 600, 102.0), ("a", 1500, 500.0), ("a", 1800, 100.0), ("b", 300, 200.0), ("b", 600, 200.0), ("b", 900, 200.0)]
     schema = "series string, window_start long, value double"

@@ -129,10 +129,12 @@ def stream_metric_alarms(spark, sf_dir):
     return drain_complete(_shown(table_stream(spark, sf_dir, "events").selectExpr(*_METRICS).withWatermark("ts", "10 minutes")))
 
 
-_ATTEMPTS = ["user_id AS message_id", "event_id AS seq", "ts", "CASE event_type WHEN 'purchase' THEN ' ' WHEN 'error' THEN 'VALIDATION_ERROR' WHEN 'click' THEN 'timeout_error' WHEN 'view' THEN 'PARSE_ERROR' ELSE 'UNHEARD_OF' END AS error_code"]
+#: Loads answer success (a blank code), failure or another try, raise an error, or get a body that can't be parsed.
+_ATTEMPTS = ["user_id AS message_id", "event_id AS seq", "CASE WHEN event_type IN ('purchase', 'error', 'click') THEN ' ' WHEN event_type = 'view' THEN 'PARSE_ERROR' ELSE 'UNHEARD_OF' END AS error_code",
+             "CASE event_type WHEN 'error' THEN 'FAIL' WHEN 'click' THEN 'RETRY' END AS action"]
 
 
-@query("""WITH a AS (SELECT user_id AS message_id, count(*) AS attempts, arg_max(CASE event_type WHEN 'purchase' THEN 'SUCCESS' WHEN 'view' THEN 'PARSE_ERROR' ELSE 'EXCEPTION' END, event_id) AS last_outcome FROM events GROUP BY 1)
+@query("""WITH a AS (SELECT user_id AS message_id, count(*) AS attempts, arg_max(CASE event_type WHEN 'purchase' THEN 'SUCCESS' WHEN 'error' THEN 'FAIL' WHEN 'click' THEN 'RETRY' WHEN 'view' THEN 'PARSE_ERROR' ELSE 'EXCEPTION' END, event_id) AS last_outcome FROM events GROUP BY 1)
  SELECT *, CASE WHEN last_outcome = 'SUCCESS' THEN 'DONE' WHEN attempts > 3 THEN 'DLQ' ELSE 'RETRY' END AS disposition FROM a""")
 def stream_dead_letter(spark, sf_dir):
     return drain_complete(attempts_by_message(table_stream(spark, sf_dir, "events").selectExpr(*_ATTEMPTS), 3))

@@ -80,6 +80,7 @@ def batch_progress(chunks: DataFrame) -> DataFrame:
 def attempts_by_message(attempts: DataFrame, max_receives: int) -> DataFrame:
     """Where the messages of a stream of attempts ``(message_id, seq, error_code)`` stand, for ``drain_complete``; see ``dead_letters``.
 
+    A column ``action``, if there is one, is what the load answered: SUCCESS, RETRY or FAIL.
     All messages stay in the state, as a complete result lists all; ``redelivery`` lets go of those that have ended.
     """
-    return dead_letters(attempts.withColumn("outcome", outcome(F.col("error_code"))), max_receives)
+    return dead_letters(attempts.withColumn("outcome", outcome(F.col("error_code"), F.col("action") if "action" in attempts.columns else None)), max_receives)
