@@ -2,6 +2,7 @@
 
 import builtins
 import dis
+import inspect
 import pkgutil
 from importlib import import_module
 
@@ -27,7 +28,7 @@ def _shown(v):
 
 
 def _unknown(code, known):
-    names = {i.argval for i in dis.get_instructions(code) if i.opname in ("LOAD_GLOBAL", "LOAD_NAME")} - set(known) - set(dir(builtins))
+    names = {i.argval for i in dis.get_instructions(code) if i.opname == "LOAD_GLOBAL"} - set(known) - set(dir(builtins))
     return names.union(*(_unknown(c, known) for c in code.co_consts if hasattr(c, "co_code")))
 
 
@@ -35,8 +36,9 @@ def _unknown(code, known):
 def test_modules_know_their_names(module):
     """No function uses a global name that its module doesn't have."""
     known = vars(import_module(module))
-    functions = [f for f in known.values() if getattr(f, "__module__", None) == module]
-    codes = [f.__code__ for f in functions if hasattr(f, "__code__")] + [f.__code__ for c in functions if isinstance(c, type) for f in vars(c).values() if hasattr(f, "__code__")]
+    functions = [inspect.unwrap(f) for f in known.values() if getattr(f, "__module__", None) == module]
+    functions += [f for c in functions if isinstance(c, type) for f in vars(c).values() if getattr(f, "__module__", None) == module]
+    codes = [f.__code__ for f in functions if f.__class__.__name__ == "function" and f.__globals__ is known]
     assert not set().union(*(_unknown(c, known) for c in codes))
 
 
