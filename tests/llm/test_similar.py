@@ -67,3 +67,23 @@ def test_repeated_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
     assert sorted(r.n for r in keep_one_similar(docs).collect()) == [1, 2, 4, 5, 6]
     assert keep_one_similar(docs.limit(0)).count() == 0 and keep_one_similar(docs).columns == docs.columns
+
+
+def test_crowd_of_unlike_copies(spark, monkeypatch):
+    """Copies that are too unlike for a link crowd the segments; the rows that are compared there stay few, and no pair is lost."""
+    rnd, rows, compared = random.Random(7), [], []
+    base = [f"w{rnd.randrange(5000)}" for _ in range(120)]
+    for i in range(240):
+        words = list(base)
+        for at in rnd.sample(range(120), 3 if i % 40 == 0 else rnd.randrange(4, 9)):
+            words[at] = f"new{rnd.random()}"
+        rows.append((i, " ".join(words)))
+    follow = similar.Groups.follow_leaders
+
+    def spy(groups, buckets, rounds, rest):
+        compared.append((rest, buckets.count()))
+        follow(groups, buckets, rounds, rest)
+
+    monkeypatch.setattr(similar.Groups, "follow_leaders", spy)
+    assert {r.doc_id for r in keep_one_similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == brute_kept(rows)
+    assert [rest for rest, _ in compared] == [False, True] and compared[1][1] < 24 * len(rows)

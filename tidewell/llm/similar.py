@@ -1,7 +1,8 @@
 """Near-duplicates by word-shingle similarity: multi-index hashing over SimHash segments, verified by the exact Jaccard similarity.
 
 At a similarity of 0.8 two SimHashes differ in about 15 of 100 bits, so a fingerprint here has as many
-segments as the wanted recall takes, each as wide as the number of texts takes.
+segments as the wanted recall takes, each as wide as the number of texts takes. Texts of crowded segments meet
+by their rarest shingles instead, which misses none of their pairs.
 """
 
 from __future__ import annotations
@@ -38,10 +39,15 @@ CHECKS = tuple(f"check{k}" for k in range(3))
 DEVIATIONS = 3.1
 SMALL = 8
 MOST_SMALL = 0.3
-#: A bucket is crowded from about SAMPLED * SAMPLE rows: it is looked for among one in SAMPLE texts. All pairs of others are compared.
+#: A bucket is crowded from about SAMPLED * SAMPLE rows: it is looked for among one in SAMPLE texts. All pairs of others are compared;
+#: texts of crowded ones meet by shingles.
 SAMPLE = 8
 SAMPLED = 3
-#: All pairs of crowded buckets that aren't connected yet are compared once they are at most so many per bucket row, or once a
+#: Cells in which the shingles of crowds are counted, to tell rare ones.
+CELLS = 1 << 20
+#: Under a crowd's shingle a row has so many of its text's rarer ones: two texts that share one of these have met there.
+BEFORE = 8
+#: All pairs under a crowd's shingles that aren't connected yet are compared once they are at most so many per row, or once a
 #: round with leaders has left over half of them: those that are left then are unlike each other for the most part.
 PAIRS_A_ROW = 8
 LEADER_ROUNDS = 6
@@ -128,6 +134,50 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "node long, hashes array<long>")
 
 
+def _cells(sets: DataFrame) -> np.ndarray:
+    """How often shingles of ``sets(hashes)`` fall into each of ``CELLS`` cells by their hash."""
+
+    def run(batches):
+        counts = np.zeros(CELLS, np.int64)
+        for b in batches:
+            for hashes in b.column(0):
+                counts[hashes.values.to_numpy() & (CELLS - 1)] += 1
+        cells = np.flatnonzero(counts)
+        yield from (pa.record_batch([pa.array(cells[at : at + 65536]), pa.array(counts[cells[at : at + 65536]])], ["cell", "k"]) for at in range(0, len(cells), 65536))
+
+    found = sets.select("hashes").mapInArrow(run, "cell long, k long").groupBy("cell").agg(F.sum("k").alias("k")).where("k > 1").toArrow()
+    out = np.ones(CELLS, np.uint32)
+    out[found.column("cell").to_numpy()] = found.column("k").to_numpy()
+    return out
+
+
+def _rarest(sets: DataFrame, cells: np.ndarray) -> DataFrame:
+    """``(node, n, bits, keys)`` of ``sets(node, n, bits, hashes)``: of each set so many shingles of the smallest ``cells`` that similar sets share one.
+
+    Two sets of the least similarity have at least that part of either in common. One of these shingles is among
+    the first of each set in one order of all, the rest being too few; which order doesn't matter to that.
+    """
+    up, down = SIMILARITY
+
+    def run(batches):
+        for b in batches:
+            keys = []
+            for hashes in b.column(3):
+                h = hashes.values.to_numpy()
+                keys.append(h[np.lexsort((h, cells[h & (CELLS - 1)]))[: len(h) + 1 + -len(h) * up // down]])
+            yield pa.record_batch([b.column(0), b.column(1), b.column(2), pa.array(keys, pa.list_(pa.int64()))], ["node", "n", "bits", "keys"])
+
+    return sets.select("node", "n", "bits", "hashes").mapInArrow(run, "node long, n long, bits array<long>, keys array<long>")
+
+
+def _leading(rows: int, segments: int) -> Column:
+    """Keys of segments that few texts share by chance, one in 64 at most whatever their number is."""
+    width = math.ceil(math.log2(max(2, rows))) + 6
+    each = 64 // width
+    part = lambda b, k, j: F.shiftrightunsigned(b, j * width).bitwiseAND(F.lit((1 << width) - 1)).bitwiseOR(F.call_function("shiftleft", (k * each + j).cast("long"), F.lit(48)))
+    return F.slice(F.flatten(F.transform("bits", lambda b, k: F.array(*[part(b, k, j) for j in range(each)]))), 1, segments)
+
+
 def _segments() -> Column:
     """Keys of the segments themselves."""
     return F.transform("value", lambda value, k: value.bitwiseOR(F.call_function("shiftleft", k.cast("long"), F.lit(48))))
@@ -172,6 +222,27 @@ def _pair(where: Column, left: DataFrame, right: DataFrame, whole: bool = False)
     return met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
 
 
+def _checks() -> list[Column]:
+    return [F.get("bits", F.lit(k)).alias(c) for k, c in enumerate(CHECKS)]
+
+
+def _rows(some: DataFrame, keys: Column, *also: str) -> DataFrame:
+    """``key, node, n, check0, check1, ...`` under each of the ``keys`` of ``some(node, n, bits)``."""
+    return some.select(F.explode(keys).alias("key"), "node", F.col("n").cast("int").alias("n"), *_checks(), *also)
+
+
+def _ranked(rarest: DataFrame) -> DataFrame:
+    """``key, node, n, check0, check1, ..., before`` under each of the ``keys`` of ``rarest(node, n, bits, keys)``; ``before`` are up to ``BEFORE`` of those that come before it."""
+    before = F.slice("keys", F.greatest(F.col("pos") - BEFORE + 1, F.lit(1)), F.least(F.col("pos"), F.lit(BEFORE)))
+    placed = rarest.select("node", "n", "bits", "keys", F.posexplode("keys").alias("pos", "key"))
+    return placed.select("key", "node", F.col("n").cast("int").alias("n"), *_checks(), before.alias("before"))
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """Those of ``rows(key, ...)`` whose key another one has."""
+    return rows.join(rows.groupBy("key").count().where("count > 1").select("key"), "key", "left_semi")
+
+
 def few(rows: DataFrame, n: int) -> DataFrame:
     """``rows``, of which there are ``n``, to be broadcast in a join while they are few."""
     return F.broadcast(rows) if n <= BROADCAST_ROWS else rows
@@ -188,11 +259,10 @@ class Groups:
     def rows(self, keys: Column, labelled: bool = False) -> DataFrame:
         """``key, node, n, check0, check1, ...`` and, if asked, ``c`` under each of a text's ``keys``."""
         some = self.nodes.join(self.labels, "node") if labelled else self.nodes
-        checks = [F.get("bits", F.lit(k)).alias(c) for k, c in enumerate(CHECKS)]
-        return some.select(F.explode(keys).alias("key"), "node", F.col("n").cast("int").alias("n"), *checks, *["c"] * labelled)
+        return _rows(some, keys, *["c"] * labelled)
 
-    def _sets(self, pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("node")).distinct().union(pairs.select("b").distinct())
+    def sets(self, ends: DataFrame) -> DataFrame:
+        """``(node, hashes, n, bits)`` of the texts of ``ends(node)``."""
         wanted = settle(self.nodes.join(ends, "node", "left_semi").select("node", "n", "bits", "first"))
         place = wanted.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"))
         place = few(place, wanted.count())
@@ -205,7 +275,7 @@ class Groups:
         """Connect the components of those of ``pairs(a, b)`` that are similar."""
         pairs = settle(pairs)
         if not pairs.isEmpty():
-            sets = self._sets(pairs)
+            sets = self.sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
             links = settle(_similar(pairs, sets))
             named = lambda n: self.labels.select(F.col("node").alias(n), F.col("c").alias(f"c{n}"))
             found = components(links.join(named("a"), "a").join(named("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
@@ -215,13 +285,13 @@ class Groups:
         forget(pairs)
 
     def follow_leaders(self, buckets: DataFrame, rounds: int, rest: bool) -> None:
-        """Connect similar texts within ``buckets`` (as ``rows`` gives them), in time linear in a bucket's rows for each round.
+        """Connect similar texts within ``buckets`` (as ``rows`` or, for the rest, ``_ranked`` gives them), in time linear in a bucket's rows for each round.
 
         Each round compares all rows outside the largest component of a bucket with one row of it, the
         leader. The ``rest`` of the pairs, those that still lie in different components, is compared at the
         end if asked: one end of each is outside the largest component.
         """
-        columns, before = ["key", "node", "n", *CHECKS], math.inf
+        columns, before = buckets.columns, math.inf
         for t in range(rounds + 1):
             rows = buckets.join(self.labels, "node")
             parts = rows.groupBy("key", "c").agg(F.count("*").alias("k"))
@@ -238,7 +308,7 @@ class Groups:
             outside = rows.where("c <> largest")
             if last:
                 whole_prints = self.nodes.select("node", "bits")
-                self.join(_pair(F.lit(True), outside.join(whole_prints, "node"), rows.join(whole_prints, "node"), whole=True))
+                self.join(_pair(~F.arrays_overlap("l.before", "r.before"), outside.join(whole_prints, "node"), rows.join(whole_prints, "node"), whole=True))
                 break
             leader = F.min_by(F.struct("node", "n", *CHECKS, "c"), F.struct(F.xxhash64("node", F.lit(t)), "node"))
             self.join(_pair(F.lit(True), rows.where("c = largest").groupBy("key").agg(leader.alias("x")).select("key", "x.*"), outside))
@@ -253,15 +323,17 @@ def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     group. Among rows of a group's smallest id the one with the least row hash stays; of equal rows one
     stays. Texts without words are similar to each other alone. An empty table gives an empty table.
 
-    Texts that share a segment follow a leader first, which connects large groups at little cost. Then
+    Texts that share a wide segment follow a leader first, which connects large groups at little cost. Then
     each text writes its segments' small Hamming balls, and texts of different components that meet are
     compared by the first words of their fingerprints inside the join, by the complete distance, and by
     their sets of shingles.
-    Crowded buckets follow leaders until the rest of their pairs is worth comparing. A pair at the least
+    Texts of crowded buckets meet under the rarest of their shingles instead, of which similar ones always
+    share one; they follow leaders there until the rest of their pairs is worth comparing. A pair at the least
     similarity is missed with a probability of about ``MISS``, and more often only if a text has fewer than
     about ten shingles. Sets are known by a 64-bit hash.
     """
-    width, segments = sketch_plan(docs.count())
+    n_rows = docs.count()
+    width, segments = sketch_plan(n_rows)
     rows, names = with_row_key(docs, id_col)
     text = rows.select(F.col(names[0]).alias("doc_id"), F.col(names[1]).alias("row"), F.col(text_col).alias("text"))
     own = settle(_prints(text, words, width, segments))
@@ -270,21 +342,21 @@ def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     forget(own)
     groups = Groups(nodes, text, words)
 
-    plain = groups.rows(_segments())
-    shared = plain.groupBy("key").count().where("count > 1").select("key")
-    plain = settle(plain.join(shared, "key", "left_semi"))
+    plain = settle(_shared(groups.rows(_leading(n_rows, segments))))
     groups.follow_leaders(plain, LEADER_ROUNDS, rest=False)
     forget(plain)
 
-    balls = groups.rows(_balls(width))
-    crowded = settle(balls.where(F.pmod("node", F.lit(SAMPLE)) == 0).groupBy("key").count().where(F.col("count") >= SAMPLED).select("key"))
+    sample = groups.rows(_balls(width)).where(F.pmod("node", F.lit(SAMPLE)) == 0)
+    crowded = settle(sample.groupBy("key").count().where(F.col("count") >= SAMPLED).select("key", F.lit(True).alias("crowded")))
     n_crowded = crowded.count()
-    table = groups.rows(_balls(width), labelled=True).join(few(crowded, n_crowded), "key", "left_anti")
+    table = groups.rows(_balls(width), labelled=True).join(few(crowded.select("key"), n_crowded), "key", "left_anti")
     groups.join(_pair(F.col("l.node") < F.col("r.node"), table, table))
     if n_crowded:
-        buckets = settle(balls.join(few(crowded, n_crowded), "key", "left_semi"))
+        marked = groups.rows(_balls(width)).select("key", "node").join(few(crowded, n_crowded), "key", "left")
+        crowds = groups.sets(marked.groupBy("node").agg(F.max("crowded").alias("crowded")).where("crowded").select("node"))
+        buckets = settle(_shared(_ranked(_rarest(crowds, _cells(crowds)))))
         groups.follow_leaders(buckets, LEADER_ROUNDS, rest=True)
-        forget(buckets)
+        forget(crowds, buckets)
 
     grouped = nodes.select("node", "first").join(groups.labels, "node")
     kept = settle(grouped.groupBy("c").agg(F.min("first").alias("x")).select("x.doc_id", "x.row"))
