@@ -1,6 +1,8 @@
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidewell.llm.toxicity import Scorer, Toxicity, fit, grams, held_out, op4_toxicity, sample, score_toxicity, subwords, train, words
@@ -110,3 +112,26 @@ def test_sample_is_bounded_and_leaves_the_held_out_fold(spark):
     for seed in range(4):
         long = docs.withColumn("text", F.when(F.col("doc_id") == 11, F.repeat(F.lit("y"), 40 << 20)).otherwise(F.col("text")))
         assert sample(long, labels.where("doc_id <> 7"), how=Toxicity(sample=400, seed=seed)).where("_id <> 11").count() == labels.where("doc_id <> 7 AND toxic IN (0, 1)").where(~held_out(F.col("doc_id"))).count() - 1
+
+
+def test_fit_and_scores_hold_few_words_as_text():
+    """An executor's workers share its memory: words of a sample are held once, texts of a batch a few at a time."""
+    rng = np.random.default_rng(5)
+    vocab = [f"word{i}" for i in range(2000)]
+    texts = [" ".join(rng.choice(vocab, 1500)) for _ in range(200)]
+    size = sum(map(len, texts))
+    tracemalloc.start()
+    try:
+        model = fit(texts, [i % 2 for i in range(200)], Toxicity(buckets=1 << 12, epochs=2))
+        assert tracemalloc.get_traced_memory()[1] < 6 * size
+        del texts[100:]
+        scorer = Scorer(*model, Toxicity(buckets=1 << 12, texts=16))
+        batch = pa.array([*texts, None, ""] * 20)
+        scorer.batch(batch[:102])
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        scores = scorer.batch(batch).to_pylist()
+        assert tracemalloc.get_traced_memory()[1] - before < batch.nbytes / 4
+    finally:
+        tracemalloc.stop()
+    assert scores == [scorer(t) for t in [*texts, None, ""]] * 20

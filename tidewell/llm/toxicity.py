@@ -11,12 +11,10 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +24,8 @@ from tidewell.llm.tables import table
 
 WORD = re.compile(r"[^\W_]++(?:[*@$!'._-]++[^\W_]++)*+")
 FOLDS = 5
+#: Words whose n-grams are made at once.
+WORDS = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -89,17 +89,27 @@ def fit(texts: list[str | None], labels: list[int], how: Toxicity = Toxicity())
     scatter of the gradients into a segmented sum. Each epoch hides a random part of each document's words,
     so that rare words can't explain a document alone, and the steps shrink to nothing by the end.
     """
-    bags = [set(words(t)) for t in texts]
-    seen = Counter(w for b in bags for w in b)
-    vocab = {w: i for i, w in enumerate(sorted(w for w, n in seen.items() if n >= how.min_docs))}
+    # Each document's distinct words as numbers; a word is kept as text once for the whole sample.
+    number: dict[str, int] = {}
+    bags = []
+    for t in texts:
+        own = set(words(t))
+        bags.append(np.fromiter((number.setdefault(w, len(number)) for w in own), np.int32, len(own)))
+    size = np.array([len(b) for b in bags], np.int64)
+    seen = np.bincount(np.concatenate([np.zeros(0, np.int32), *bags]), minlength=len(number))
+    vocab = sorted(w for w, i in number.items() if seen[i] >= how.min_docs)
     if not vocab or len(set(labels)) < 2:
         share = (sum(labels) + 0.5) / (len(labels) + 2)
         return np.zeros(how.buckets), float(np.log(share / (1 - share)))
-    known = [sorted(vocab[w] for w in b if w in vocab) for b in bags]
-    doc = _sparse(known, [[1 / (len(b) + how.pad)] * len(k) for b, k in zip(bags, known)], len(vocab))
-    row, bucket = grams(list(vocab), how)
-    ids = np.split(bucket, np.flatnonzero(np.diff(row)) + 1)
-    word = _sparse(ids, [[1 / len(x)] * len(x) for x in ids], how.buckets)
+    place = np.full(len(number), -1, np.int32)
+    place[[number[w] for w in vocab]] = np.arange(len(vocab), dtype=np.int32)
+    known = [np.sort(k[k >= 0]) for k in (place[b] for b in bags)]
+    n_known = [len(k) for k in known]
+    doc = _sparse(np.repeat(np.arange(len(known), dtype=np.int32), n_known), np.concatenate(known), np.repeat((1 / (size + how.pad)).astype(np.float32), n_known), (len(known), len(vocab)))
+    parts = [[(x + off).astype(np.int32) for x, off in zip(grams(vocab[at : at + WORDS], how), (at, 0))] for at in range(0, len(vocab), WORDS)]
+    row, bucket = (np.concatenate(x) for x in zip(*parts))
+    word = _sparse(row, bucket, (1 / np.bincount(row)).astype(np.float32)[row], (len(vocab), how.buckets))
+    del number, bags, seen, place, known, parts, row, bucket, vocab
     rng = np.random.default_rng(how.seed)
     y = np.eye(2, dtype=np.float32)[:, labels]
     # A Gaussian prior weighs less against the mean loss the more documents there are.
@@ -130,16 +140,12 @@ def fit(texts: list[str | None], labels: list[int], how: Toxicity = Toxicity())
 class _sparse:  # noqa: N801
     """Rows of (column, value), by which dense (dim, columns) matrices are multiplied in both directions."""
 
-    def __init__(self, cols, vals, width: int):
-        size = np.array([len(c) for c in cols])
-        self.shape = (len(cols), width)
-        self.col = np.fromiter((x for c in cols for x in c), np.int32, size.sum())
-        self.val = np.fromiter((x for v in vals for x in v), np.float32, size.sum())
-        self.row = np.repeat(np.arange(len(cols), dtype=np.int32), size)
-        order = np.argsort(self.col, kind="stable")
-        self.back_row, self.back_val = self.row[order], self.val[order]
-        self.order, self.full = order, self.val
-        self.ends = [self._starts(self.row), self._starts(self.col[order])]
+    def __init__(self, row: np.ndarray, col: np.ndarray, val: np.ndarray, shape: tuple[int, int]):
+        self.col, self.val, self.shape = col, val, shape
+        order = np.argsort(col, kind="stable").astype(np.int32)
+        self.back_row, self.back_val = row[order], val[order]
+        self.order, self.full = order, val
+        self.ends = [self._starts(row), self._starts(col[order])]
 
     def thin(self, kept: np.ndarray, share: float) -> None:
         """Take only the ``kept`` entries from here on, scaled up so that sums keep their size."""
@@ -152,17 +158,19 @@ class _sparse:  # noqa: N801
         return at, index[at]
 
     @staticmethod
-    def _sum(values: np.ndarray, ends: tuple[np.ndarray, np.ndarray], n: int) -> np.ndarray:
-        out = np.zeros((len(values), n), np.float32)
-        if values.shape[1]:
-            out[:, ends[1]] = np.add.reduceat(values, ends[0], axis=1)
+    def _sum(m: np.ndarray, index: np.ndarray, val: np.ndarray, ends: tuple[np.ndarray, np.ndarray], n: int) -> np.ndarray:
+        """One dimension at a time, so that no product with all entries of all dimensions is held."""
+        out = np.zeros((len(m), n), np.float32)
+        if len(index):
+            for x, into in zip(m, out):
+                into[ends[1]] = np.add.reduceat(x[index] * val, ends[0])
         return out
 
     def dot(self, m: np.ndarray) -> np.ndarray:
-        return self._sum(m[:, self.col] * self.val, self.ends[0], self.shape[0])
+        return self._sum(m, self.col, self.val, self.ends[0], self.shape[0])
 
     def back(self, m: np.ndarray) -> np.ndarray:
-        return self._sum(m[:, self.back_row] * self.back_val, self.ends[1], self.shape[1])
+        return self._sum(m, self.back_row, self.back_val, self.ends[1], self.shape[1])
 
 
 class Scorer:
@@ -172,8 +180,8 @@ class Scorer:
         self.weights, self.bias, self.how, self.known = weights.astype(np.float64), bias, how, {}
 
     def learn(self, new: list[str]) -> None:
-        for at in range(0, len(new), 1 << 14):
-            some = new[at : at + (1 << 14)]
+        for at in range(0, len(new), WORDS):
+            some = new[at : at + WORDS]
             row, bucket = grams(some, self.how)
             self.known.update(zip(some, (np.bincount(row, self.weights[bucket]) / np.bincount(row)).tolist()))
 
@@ -188,6 +196,11 @@ class Scorer:
         z = [self.bias + math.fsum(map(known, f)) / (len(f) + pad) for f in found]
         return (1 / (1 + np.exp(-np.clip(z, -50, 50)))).tolist()
 
+    def batch(self, texts: pa.Array) -> pa.Array:
+        """Scores of a batch of any size, of which ``texts`` at a time become Python strings."""
+        step = self.how.texts
+        return pa.array([z for at in range(0, len(texts), step) for z in self.many(texts.slice(at, step).to_pylist())], pa.float64())
+
     def __call__(self, text: str | None) -> float:
         return self.many([text])[0]
 
@@ -237,17 +250,16 @@ def score_toxicity(docs: DataFrame, model: tuple[np.ndarray, float], text_col: s
     """``docs`` with a column of scores from 0 to 1 for whole texts, from nothing but the text.
 
     Null and empty texts have the model's bias alone; repeated rows score alike; a column named ``out`` is
-    replaced, any other stays; an empty table gives an empty table. Batch by batch without a shuffle; the
-    model is one float for each bucket.
+    replaced, any other stays; an empty table gives an empty table. Batch by batch without a shuffle, ``texts``
+    of a batch at a time as Python strings; the model is one float for each bucket.
     """
     weights, bias = model[0].astype(np.float32), model[1]
 
-    @F.pandas_udf("double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(weights, bias, how)
         for b in batches:
-            texts = b.tolist()
-            yield pd.Series([x for at in range(0, len(texts), how.texts) for x in scorer.many(texts[at : at + how.texts])], dtype="float64")
+            yield scorer.batch(b)
 
     return docs.withColumn(out, run(F.col(text_col)))
 
