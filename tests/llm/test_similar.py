@@ -1,6 +1,7 @@
 import random
 
 import pytest
+import xxhash
 
 import corpus_pipeline
 from tests.llm.test_simhash import groups
@@ -87,3 +88,30 @@ def test_crowd_of_unlike_copies(spark, monkeypatch):
     monkeypatch.setattr(similar.Groups, "follow_leaders", spy)
     assert {r.doc_id for r in keep_one_similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == brute_kept(rows)
     assert [rest for rest, _ in compared] == [False, True] and compared[1][1] < 24 * len(rows)
+
+
+def test_crowds_by_chance(spark, monkeypatch):
+    """A small group whose texts all happen to be in the sample is no crowd, however many such groups there are."""
+    rnd, rows, rests = random.Random(11), [], []
+
+    def sampled(text):
+        return xxhash.xxh3_64_intdigest(similar.shingles(text).tobytes(), similar.SEED) % similar.SAMPLE == 0
+
+    for _ in range(5):
+        base, group = [f"w{rnd.randrange(5000)}" for _ in range(120)], []
+        while len(group) < 12:
+            words = list(base)
+            for at in rnd.sample(range(5, 115, 10), 2):
+                words[at] = f"new{rnd.random()}"
+            if sampled(" ".join(words)):
+                group.append(" ".join(words))
+        rows += [(len(rows) + i, t) for i, t in enumerate(group)]
+    follow = similar.Groups.follow_leaders
+
+    def spy(groups, buckets, rounds, rest):
+        rests.append(rest)
+        follow(groups, buckets, rounds, rest)
+
+    monkeypatch.setattr(similar.Groups, "follow_leaders", spy)
+    assert {r.doc_id for r in keep_one_similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == brute_kept(rows)
+    assert rests == [False]

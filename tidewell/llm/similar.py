@@ -39,10 +39,11 @@ CHECKS = tuple(f"check{k}" for k in range(3))
 DEVIATIONS = 3.1
 SMALL = 8
 MOST_SMALL = 0.3
-#: A bucket is crowded from about SAMPLED * SAMPLE rows: it is looked for among one in SAMPLE texts. All pairs of others are compared;
-#: texts of crowded ones meet by shingles.
+#: A bucket is crowded from CROWD rows. It is looked for among one in SAMPLE texts, and the rows of those with SAMPLED there are counted:
+#: at the density of segments many small ones have as many by chance. All pairs of others are compared; texts of crowded ones meet by shingles.
 SAMPLE = 8
 SAMPLED = 3
+CROWD = SAMPLE * SAMPLED
 #: Cells in which the shingles of crowds are counted, to tell rare ones.
 CELLS = 1 << 20
 #: Under a crowd's shingle a row has so many of its text's rarer ones: two texts that share one of these have met there.
@@ -248,6 +249,17 @@ def few(rows: DataFrame, n: int) -> DataFrame:
     return F.broadcast(rows) if n <= BROADCAST_ROWS else rows
 
 
+def _crowded(rows: DataFrame) -> DataFrame:
+    """``(key, crowded)`` of the keys that at least ``CROWD`` of ``rows(key, node)`` have, of those that the sample shows."""
+    sample = rows.where(F.pmod("node", F.lit(SAMPLE)) == 0).groupBy("key").count()
+    likely = settle(sample.where(F.col("count") >= SAMPLED).select("key", F.lit(True).alias("likely")))
+    # All other rows count as one null key, so that a task sends one row for them.
+    counted = settle(rows.join(few(likely, likely.count()), "key", "left").groupBy(F.when(F.col("likely"), F.col("key")).alias("key")).count())
+    out = settle(counted.where(F.col("key").isNotNull() & (F.col("count") >= CROWD)).select("key", F.lit(True).alias("crowded")))
+    forget(likely, counted)
+    return out
+
+
 class Groups:
     """Texts with their components so far: ``labels(node, c)``; pairs of texts are verified and join components."""
 
@@ -346,8 +358,7 @@ def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     groups.follow_leaders(plain, LEADER_ROUNDS, rest=False)
     forget(plain)
 
-    sample = groups.rows(_balls(width)).where(F.pmod("node", F.lit(SAMPLE)) == 0)
-    crowded = settle(sample.groupBy("key").count().where(F.col("count") >= SAMPLED).select("key", F.lit(True).alias("crowded")))
+    crowded = _crowded(groups.rows(_balls(width)).select("key", "node"))
     n_crowded = crowded.count()
     table = groups.rows(_balls(width), labelled=True).join(few(crowded.select("key"), n_crowded), "key", "left_anti")
     groups.join(_pair(F.col("l.node") < F.col("r.node"), table, table))
